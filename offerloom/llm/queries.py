@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import bpe, topk, urls, warc
+from offerloom.llm import bpe, line_dedup, mixing, quality, topk, urls, warc
 from offerloom.llm.storage import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,42 @@ FROM h
 """
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_LIMITS = quality.Limits()
+OP4_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source FROM documents),
+w AS (SELECT doc_id, text, source, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+m AS (
+  SELECT doc_id, text, source, words, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines
+  FROM w),
+g AS (SELECT doc_id, unnest(range(1, n_words - 3)) AS i, words FROM m WHERE n_words >= 5),
+gg AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS gram FROM g),
+c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM gg),
+r AS (SELECT doc_id, count(DISTINCT j)::BIGINT AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM c WHERE n >= 2) GROUP BY doc_id),
+l AS (
+  SELECT doc_id, text, coalesce('s' || source, '-') AS host, unnest(string_split(text, chr(10))) AS line FROM d),
+k AS (
+  SELECT doc_id, text, host, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM l),
+f AS (SELECT host, key, count(DISTINCT text) AS n_docs FROM k WHERE n > 0 GROUP BY host, key),
+h AS (SELECT coalesce('s' || source, '-') AS host, count(DISTINCT text) AS host_docs FROM d GROUP BY 1),
+o AS (SELECT f.host, f.key FROM f JOIN h USING (host) WHERE n_docs > {_LIMITS.line_docs} AND n_docs > host_docs * {_LIMITS.line_share}),
+x AS (SELECT doc_id, sum(n) AS n_lost FROM k JOIN o USING (host, key) GROUP BY doc_id),
+a AS (
+  SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_words - coalesce(n_lost, 0) AS left_words
+  FROM m LEFT JOIN r USING (doc_id) LEFT JOIN x USING (doc_id)),
+b AS (SELECT *, n_words < {_LIMITS.min_words} OR 100 * n_repeat_words > {_LIMITS.max_repeat_percent} * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND left_words >= {_LIMITS.min_words} AND left_words >= n_words * {_LIMITS.min_left} AS kept
+FROM b
+"""
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -102,15 +138,47 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a document, with the words that the mix takes of it."""
+    plan = mixing.mixed(table(spark, sf_dir, "documents"))
+    rows = plan.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line, len(lines) AS n_lines
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+c AS (SELECT key, max(doc_id) AS last_id FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.last_id AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, max(n_lines)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op3_url_filter": op3_url_filter,
+    "op4_quality": op4_quality,
     "op5_topk": op5_topk,
     "op6_bpe": op6_bpe,
+    "op8_mixing": op8_mixing,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
     "op3_url_filter": _op3_sql(),
+    "op4_quality": OP4_SQL,
     "op5_topk": OP5_SQL,
+    "op9_line_dedup": OP9_SQL,
 }
