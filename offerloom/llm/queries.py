@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import bpe, line_dedup, mixing, quality, topk, urls, warc
-from offerloom.llm.storage import work_path
+from offerloom.llm import bpe, line_dedup, mixing, quality, substrings, topk, urls, warc
+from offerloom.llm.storage import bounded_batches, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes a record a page, then reads the archives back by byte ranges."""
+    bounded_batches(spark)
     path = work_path(spark, "warc")
     warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), path)
     records = warc.read_warc(spark, path, split_bytes=8 << 20)
@@ -43,6 +44,11 @@ FROM f
 """
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return substrings.removed(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")
@@ -106,6 +112,7 @@ FROM b
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
@@ -126,6 +133,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every whole text; the digests are made from the ids and the bytes."""
     import public_tokenizers
 
+    bounded_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
@@ -167,6 +175,7 @@ FROM m GROUP BY doc_id
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
     "op5_topk": op5_topk,

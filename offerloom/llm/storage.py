@@ -23,6 +23,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/offerloom/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Rows go to Python workers in batches of this size, not of 64 MB: long texts fill no worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it again.
 
