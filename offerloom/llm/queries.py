@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import bpe, line_dedup, mixing, quality, substrings, topk, urls, warc
+from offerloom.llm import bpe, html_text, line_dedup, mixing, near_dups, quality, substrings, topk, urls, warc
 from offerloom.llm.storage import bounded_batches, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a document, with the smallest doc_id of its class of near duplicates."""
+    bounded_batches(spark)
+    return near_dups.classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row a document, with the words that the mix takes of it."""
     plan = mixing.mixed(table(spark, sf_dir, "documents"))
@@ -173,6 +179,11 @@ FROM m GROUP BY doc_id
 """
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_substring_dedup": op2_substring_dedup,
@@ -180,8 +191,10 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_topk": op5_topk,
     "op6_bpe": op6_bpe,
+    "op7_near_dups": op7_near_dups,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
