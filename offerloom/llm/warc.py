@@ -31,7 +31,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 SCHEMA = "record_type string, record_id string, target_uri string, refers_to string, payload_digest string, payload_length long, payload binary"
-CHUNK = 1 << 20
+CHUNK, PIECE = 1 << 20, 1 << 14
 
 
 def _open(path: str):
@@ -94,22 +94,25 @@ class _Window:
     """Forward reads of a file from any offset, a chunk at a time."""
 
     def __init__(self, file, size: int, at: int):
-        self.file, self.size, self.at, self.data = file, size, at, b""
+        self.file, self.size, self.base, self.skip, self.data = file, size, at, 0, b""
+
+    @property
+    def at(self) -> int:
+        return self.base + self.skip
 
     def seek(self, to: int) -> None:
-        if self.at <= to <= self.at + len(self.data):
-            self.data = self.data[to - self.at :]
+        if self.base <= to <= self.base + len(self.data):
+            self.skip = to - self.base
         else:
-            self.data = b""
-        self.at = to
+            self.base, self.skip, self.data = to, 0, b""
 
     def more(self) -> bool:
-        end = self.at + len(self.data)
+        end = self.base + len(self.data)
         if end >= self.size:
             return False
         self.file.seek(end)
         got = self.file.read(min(CHUNK, self.size - end))
-        self.data += got
+        self.base, self.data, self.skip = self.at, self.data[self.skip :] + got, 0
         return bool(got)
 
 
@@ -117,9 +120,9 @@ def _member(win: _Window) -> tuple[bytes, int] | None:
     """The content and length of the member at the window's start; None if it isn't a WARC record's."""
     inflate, out, used, seen = zlib.decompressobj(31), [], 0, b""
     while not inflate.eof:
-        if used >= len(win.data) and not win.more():
+        if win.skip + used >= len(win.data) and not win.more():
             return None
-        piece = win.data[used : used + CHUNK]
+        piece = win.data[win.skip + used : win.skip + used + PIECE]
         used += len(piece)
         try:
             got = inflate.decompress(piece)
@@ -137,18 +140,15 @@ def records_in_range(file, size: int, start: int, end: int):
     """(offset, fields) of the records whose member starts in [start, end)."""
     win = _Window(file, size, start)
     while win.at < end:
-        while len(win.data) < len(GZIP_MAGIC) and win.more():
-            pass
-        hit = win.data.find(GZIP_MAGIC)
-        if hit < 0:
-            if win.at + len(win.data) >= min(size, end + len(GZIP_MAGIC)):
+        hit = win.data.find(GZIP_MAGIC, win.skip)
+        if hit < 0:  # the magic may lie across the window's end
+            win.seek(win.base + max(win.skip, len(win.data) - len(GZIP_MAGIC) + 1))
+            if not win.more():
                 return
-            win.seek(win.at + max(0, len(win.data) - len(GZIP_MAGIC) + 1))
-            win.more()
             continue
-        if win.at + hit >= end:
+        win.seek(win.base + hit)
+        if win.at >= end:
             return
-        win.seek(win.at + hit)
         found = _member(win)
         fields = None
         if found:
