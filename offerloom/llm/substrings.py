@@ -1,18 +1,19 @@
 """Exact substring dedup: bytes inside long strings that also start elsewhere are removed.
 
 Every window of ``length`` bytes is owned by its anchor, a short gram that equal
-windows share at equal places (``suffixes.anchors``), so windows that could be
-equal meet by their anchor's hash. Stretches of text whose anchor occurs once
-are unique and drop out before any text moves. The others are cut into contexts,
-the windows of one anchor in one text with the bytes that they cover; equal
-contexts collapse, and the distinct ones are dealt by anchor to tasks that
-suffix-sort a few megabytes at a time and expand intervals on the BWT up to
-``length``.
-
-An anchor with more than ``HOT`` distinct contexts isn't handed to one task: its
-windows are dealt anew in classes of ``CLASS`` places by the longer string that
-windows of a class share, and classes that are still hot by whole windows, which
-then need no sorting as all that meet are equal. Nothing is left out, at any size.
+windows share at equal places (``suffixes.anchors``). The windows of an anchor
+fall in classes by where it lies in them, and all windows of a class share a
+longer string, so windows that could be equal meet by that string's hash, the
+class's key. Stretches of text whose key occurs once are unique and drop out
+before any text moves. The others are cut into contexts, the windows of one class
+in one text with the bytes that they cover; equal contexts collapse, and the
+distinct ones are dealt by key to tasks that suffix-sort half a megabyte at a
+time and expand intervals on the BWT up to ``length``.
+
+A key with more than ``HOT`` distinct contexts isn't handed to one task: its
+windows are dealt anew in classes of ``CLASS`` places, and classes that are still
+hot by whole windows, which then need no sorting as all that meet are equal.
+Nothing is left out, at any size.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ from offerloom.llm import suffixes, words
 from offerloom.llm.line_rules import join_key
 from offerloom.llm.storage import materialize
 
-GRAM, HOT, CLASS = 32, 256, 32
+GRAM, HOT, CLASS, SIDES = 64, 256, 32, 2
 #: Bytes that a task hashes or sorts at once.
-HASH_BYTES, SORT_BYTES = 1 << 19, 1 << 20
+HASH_BYTES, SORT_BYTES = 1 << 18, 1 << 19
 #: A longer text is hashed in parts that overlap by one window.
 PART = 1 << 23
 
@@ -58,8 +59,9 @@ def _batched(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[in
 
 
 def text_anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(th1, th2, key, at, first, last) of every anchor of ``texts`` (th1, th2, body)."""
+    """(th1, th2, key, at, first, last) of every anchor and class of ``texts`` (th1, th2, body)."""
     gram = min(GRAM, max(1, length // 4))
+    places = -(-(length - gram + 1) // SIDES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,7 +72,7 @@ def text_anchors(texts: DataFrame, length: int) -> DataFrame:
                     rows, offsets = np.array([p[0] for p in part]), np.array([p[1] for p in part])
                     sizes = np.array([len(p[2]) for p in part], np.int64)
                     symbols = np.frombuffer(b"".join(p[2] for p in part), np.uint8).astype(np.uint64)
-                    piece, at, first, last, key = suffixes.anchors(symbols, np.cumsum(sizes) - sizes, sizes, length, gram)
+                    piece, at, first, last, key = suffixes.anchor_classes(symbols, np.cumsum(sizes) - sizes, sizes, length, gram, places)
                     off, row = offsets[piece], rows[piece]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h1[row], h2[row], key, at + off, first + off, last + off)], names=["th1", "th2", "key", "at", "first", "last"])
 
@@ -225,9 +227,11 @@ def removed(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col
     base = materialize(rows.select("id", "th1", "th2", F.octet_length("body").cast("long").alias("n_bytes"), F.sha2("body", 256).alias("sha")), "substrings-base")
 
     copies = base.filter(F.col("n_bytes") >= length).groupBy("th1", "th2").agg(F.count("*").alias("copies"), F.max(F.struct("id")).alias("top")).select(join_key("th1", "th2").alias("tk"), "copies", "top.id")
-    every = materialize(text_anchors(rows.filter(F.octet_length("body") >= length).select("th1", "th2", "body"), length).distinct(), "substrings-anchors")
-    often = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.hex("key").alias("hk"))
-    flagged = every.withColumn("hk", F.hex("key")).join(often, "hk").groupBy("th1", "th2").agg(F.collect_list(F.struct("key", "at", "first", "last")).alias("anchors"))
+    every = materialize(text_anchors(rows.filter(F.octet_length("body") >= length).select("th1", "th2", "body"), length), "substrings-anchors")
+    # a key in one place of one text only is unique, however many copies the text has
+    ends = every.groupBy("key").agg(F.min("th1").alias("t0"), F.max("th1").alias("t1"), F.min("at").alias("a0"), F.max("at").alias("a1"))
+    often = ends.filter("t0 != t1 OR a0 != a1").select(F.hex("key").alias("hk"))
+    flagged = every.withColumn("hk", F.hex("key")).join(often, "hk").groupBy("th1", "th2").agg(F.collect_set(F.struct("key", "at", "first", "last")).alias("anchors"))
     flagged = flagged.withColumn("tk", join_key("th1", "th2")).join(copies.select("tk", F.col("id").alias("top_id")), "tk").select(join_key("top_id", "th1", "th2").alias("rk"), "anchors")
     texts = rows.withColumn("rk", join_key("id", "th1", "th2")).join(flagged, "rk").select("th1", "th2", "body", "anchors")
     texts = materialize(texts, "substrings-texts")

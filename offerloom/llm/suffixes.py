@@ -55,45 +55,51 @@ def sort_suffixes(text: np.ndarray, sigma: int, depth: int) -> np.ndarray:
     return order
 
 
+def _to_next(known: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Steps from each place of ``new`` to the next known one; the last place is known."""
+    size, going, step = np.ones(len(new), np.int64), np.arange(len(new)), 1
+    if len(new) * 16 < len(known):
+        while len(going) and step <= 64:
+            going = going[~known[new[going] + step]]
+            size[going] += 1
+            step += 1
+    if len(going):
+        every = np.flatnonzero(known)
+        size[going] = every[np.searchsorted(every, new[going], "right")] - new[going]
+    return size
+
+
 def long_prefixes(text: np.ndarray, sigma: int, order: np.ndarray, length: int) -> np.ndarray:
     """True at ranks whose suffix shares ``length`` symbols or more with the rank before.
 
     Works on the Burrows-Wheeler transform alone. A boundary between two ranks is
-    found at the value of their common prefix, values in increasing order: each
-    boundary found at one value is extended backward by every symbol to the only
-    boundary that it can open at the next. It stops at ``length``; what was not
-    reached by then shares at least so much. Where many boundaries are new, the
-    extension is done for all open ranks at once by counts instead of by symbols.
+    found at the value of their common prefix, values in increasing order: behind
+    each boundary found at one value lies an interval of ranks up to the next
+    known one, and extending it backward by each of its symbols gives the
+    boundaries of the next value, where the rank that the extension leads to is
+    still open and the same symbol's rank before lies on the other side. It stops
+    at ``length``; what was not reached by then shares at least so much.
     """
     n = len(text)
     bwt = text[order - 1]
-    psi = np.argsort(bwt, kind="stable")
-    block = np.searchsorted(bwt[psi], np.arange(sigma + 2))
+    psi = np.argsort(bwt, kind="stable")  # where the suffix without its first symbol ranks
+    back = np.empty(n, np.int64)
+    back[psi] = np.arange(n)
     head = bwt[psi]
-    is_open = np.zeros(n, bool)
-    is_open[1:] = (head[1:] == head[:-1]) & (head[1:] != 0)
-    new = np.flatnonzero(~is_open)
-    level, left = 0, int(is_open.sum())
-    while level + 1 < length and len(new) and left:
-        if len(new) * sigma * 4 < n + 4 * left:
-            found = []
-            for c in range(1, sigma + 1):
-                low, high = block[c], block[c + 1]
-                if high - low > 1:
-                    f = low + np.searchsorted(psi[low:high], new)
-                    f = f[(f > low) & (f < high)]
-                    found.append(f[is_open[f]])
-            new = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        else:
-            mark = np.zeros(n + 1, np.int32)
-            mark[new + 1] = 1
-            upto = np.cumsum(mark, dtype=np.int32)[1:]
-            ranks = np.flatnonzero(is_open)
-            new = ranks[upto[psi[ranks]] > upto[psi[ranks - 1]]]
-        is_open[new] = False
-        left -= len(new)
+    before = np.append(n, psi[:-1])
+    known = np.ones(n + 1, bool)
+    known[1:n] = (head[1:] != head[:-1]) | (head[1:] == 0)
+    new = np.flatnonzero(known[:n])
+    level = 0
+    while level + 1 < length and len(new):
+        size = _to_next(known, new)
+        start = np.repeat(new, size)
+        inside = start + np.arange(len(start)) - np.repeat(np.cumsum(size) - size, size)
+        rank = back[inside]
+        new = np.sort(rank[~known[rank] & (before[rank] < start)])
+        known[new] = True
         level += 1
-    return is_open
+    return ~known[:n]
 
 
 def repeated_starts(pieces: list[np.ndarray], length: int) -> list[np.ndarray]:
@@ -119,25 +125,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(28))
 
 
+def run_hashes(symbols: np.ndarray, longest: int) -> list[np.ndarray]:
+    """Hashes of the 1, 2, 4, ... symbols (``longest`` at most) from each position on."""
+    out = [_mix(symbols + np.uint64(1))]
+    while 2 << (len(out) - 1) <= longest and len(out[-1]) > 1 << (len(out) - 1):
+        width = 1 << (len(out) - 1)
+        out.append(_mix(out[-1][:-width] * np.uint64(0xA0761D6478BD642F) + out[-1][width:]))
+    return out
+
+
+def hash_at(runs: list[np.ndarray], at: np.ndarray | slice, length: int) -> np.ndarray:
+    """64-bit hash of the ``length`` symbols from each place of ``at`` on, by ``run_hashes``."""
+    out, done = None, 0
+    for i, run in enumerate(runs):
+        if length >> i & 1:
+            part = run[done + at.start : done + at.stop] if isinstance(at, slice) else run[done + at]
+            out = part.copy() if out is None else _mix(out * np.uint64(0xD6E8FEB86659FD93) + part)
+            done += 1 << i
+    return out
+
+
 def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
     """64-bit hash of the ``gram`` symbols from each position on (``symbols`` as uint64)."""
-    out, width, done = None, 1, 0
-    power = _mix(symbols + np.uint64(1))
     n = len(symbols) - gram + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    while True:
-        if gram & width:
-            part = power[done : done + n]
-            out = part.copy() if out is None else _mix(out * np.uint64(0xD6E8FEB86659FD93) + part)
-            done += width
-        if done == gram:
-            return out
-        power = _mix(power[:-width] * np.uint64(0xA0761D6478BD642F) + power[width:])
-        width *= 2
+    return hash_at(run_hashes(symbols, gram), slice(0, n), gram) if n > 0 else np.zeros(0, np.uint64)
 
 
-def anchors(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+def anchors(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, gram: int, runs: list[np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
     """(piece, at, first, last, key): which windows of ``length`` symbols have which anchor.
 
     ``symbols`` holds pieces at ``starts`` of ``sizes``. The anchor of a window is
@@ -146,11 +160,12 @@ def anchors(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length:
     ``at``; all count from the piece's start. Positions take the low 24 bits of
     what is compared: at most 16 million symbols at once.
     """
-    hashes = gram_hashes(symbols, gram)
+    n = len(symbols) - gram + 1
+    hashes = hash_at(runs or run_hashes(symbols, gram), slice(0, n), gram) if n > 0 else np.zeros(0, np.uint64)
     span = length - gram + 1
     if len(hashes) < span:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, np.zeros(0, np.int64)
+        return empty, empty, empty, empty, empty
     low = np.uint64((1 << 24) - 1)
     best, width = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), 1
     while 2 * width <= span:
@@ -158,18 +173,41 @@ def anchors(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length:
         width *= 2
     if width < span:
         best = np.minimum(best[: len(hashes) - span + 1], best[span - width :])
-    fits = sizes >= length
-    starts, counts, pieces = starts[fits], (sizes - length + 1)[fits], np.flatnonzero(fits)
-    if not len(counts):
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, np.zeros(0, np.int64)
-    before = np.cumsum(counts) - counts
-    piece = np.repeat(np.arange(len(counts)), counts)
-    window = np.arange(int(counts.sum())) - before[piece] + starts[piece]
-    at = (best[window] & low).astype(np.int64)
-    change = np.ones(len(at), bool)
-    change[1:] = (at[1:] != at[:-1]) | (piece[1:] != piece[:-1])
-    first = np.flatnonzero(change)
-    last = np.append(first[1:], len(at)) - 1
-    origin = starts[piece[first]]
-    return pieces[piece[first]], at[first] - origin, window[first] - origin, window[last] - origin, hashes[at[first]].view(np.int64)
+    fits = np.flatnonzero(sizes >= length)
+    empty = np.zeros(0, np.int64)
+    if not len(fits):
+        return empty, empty, empty, empty, empty
+    begin, end = starts[fits], starts[fits] + sizes[fits] - length  # first and last window of each piece
+    at = (best & low).astype(np.int64)
+    turn = np.ones(len(at), bool)
+    turn[1:] = at[1:] != at[:-1]
+    turn[begin] = True
+    inside = np.zeros(len(at) + 1, np.int8)
+    inside[begin] = 1
+    inside[end + 1] -= 1
+    first = np.flatnonzero(turn & (np.cumsum(inside[:-1], dtype=np.int8) > 0))
+    owner = np.searchsorted(begin, first, "right") - 1
+    last = np.minimum(np.append(first[1:], len(at)) - 1, end[owner])
+    origin, at = begin[owner], at[first]
+    return fits[owner], at - origin, first - origin, last - origin, hashes[at].view(np.int64)
+
+
+def anchor_classes(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, gram: int, places: int) -> tuple[np.ndarray, ...]:
+    """``anchors`` cut by classes of ``places``: the key is that of all symbols which the windows of a class share.
+
+    A window's place is how far its anchor lies behind its start; class c holds
+    the places from c * ``places`` on.
+    """
+    core = length - places + 1
+    runs = run_hashes(symbols, max(core, gram))
+    piece, at, first, last, _ = anchors(symbols, starts, sizes, length, gram, runs)
+    low = (at - last) // places
+    n = (at - first) // places - low + 1
+    row = np.repeat(np.arange(len(piece)), n)
+    c = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    piece, at, first, last = piece[row], at[row], first[row], last[row]
+    if not len(row):
+        return piece, at, first, last, np.zeros(0, np.int64)
+    key = hash_at(runs, starts[piece] + at - c * places, core)
+    key = _mix(key + c.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    return piece, at, np.maximum(first, at - c * places - places + 1), np.minimum(last, at - c * places), key
