@@ -18,12 +18,17 @@ from offerloom.llm.storage import materialize
 
 #: A pair at the similarity 0.8 shares no band with a probability of (1 - 0.8 ** 5) ** 30, under 1 in 100,000.
 BANDS, ROWS, WINDOW, SIMILARITY = 30, 5, 5, 0.8
-#: Bytes of text that a task signs at once; pivots of a bucket in the first round after the stars.
-SIGN_BYTES, PIVOTS = 1 << 20, 16
+#: Bytes of text that a task signs at once; about so many texts in a tile of a bucket.
+SIGN_BYTES, TILE = 1 << 20, 256
+#: Standard deviations that an estimate by registers may lie below the similarity before its pair is passed over.
+DEVIATIONS = 4.6
 
 
 def bands(texts: DataFrame, window: int = WINDOW, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(node, bands array<long>) of ``texts`` (node, body); texts without words give no row."""
+    """(node, bands array<long>, registers binary) of ``texts`` (node, body); texts without words give no row.
+
+    ``registers`` has a byte of each register, for estimates.
+    """
 
     def sign(nodes: np.ndarray, bodies: list[bytes]) -> pa.RecordBatch:
         data = np.frombuffer(b"".join(bodies), np.uint8)
@@ -33,7 +38,8 @@ def bands(texts: DataFrame, window: int = WINDOW, n_bands: int = BANDS, rows: in
         signed = bagminhash.signatures(*bagminhash.weighed(hashes, place), len(filled), n_bands * rows)
         values = bagminhash.band_values(signed, rows)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(filled) + 1, dtype=np.int32) * n_bands), pa.array(values.ravel()))
-        return pa.RecordBatch.from_arrays([pa.array(nodes[filled]), lists], names=["node", "bands"])
+        low = pa.array([bytes(x) for x in signed.astype(np.uint8)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(nodes[filled]), lists, low], names=["node", "bands", "registers"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -45,7 +51,7 @@ def bands(texts: DataFrame, window: int = WINDOW, n_bands: int = BANDS, rows: in
                     yield sign(nodes[start : i + 1], bodies)
                     start, held, bodies = i + 1, 0, []
 
-    return texts.mapInArrow(run, "node long, bands array<long>")
+    return texts.mapInArrow(run, "node long, bands array<long>, registers binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, window: int, similarity: float) -> DataFrame:
@@ -69,6 +75,40 @@ def verified(pairs: DataFrame, texts: DataFrame, window: int, similarity: float)
     return with_both.select("a", "b", "a_body", "b_body").mapInPandas(run, "a long, b long, linked boolean")
 
 
+def likely_pairs(members: DataFrame, similarity: float, n_registers: int) -> DataFrame:
+    """(a, b), a < b: texts of a bucket in different classes whose registers don't rule the similarity out.
+
+    ``members`` is (bucket, n, node, label, registers). A bucket of n texts is cut
+    by hash into tiles of about ``TILE``, and a task compares the registers of two
+    tiles as arrays; only pairs that may be links become rows.
+    """
+    least = n_registers * similarity - DEVIATIONS * (n_registers * similarity * (1 - similarity)) ** 0.5
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    dealt = members.withColumns({"tiles": tiles, "tile": F.pmod(F.xxhash64("node"), tiles).cast("int")})
+    held = dealt.groupBy("bucket", "tiles", "tile").agg(F.collect_list(F.struct("node", "label", "registers")).alias("texts"))
+    held = materialize(held, "near-tiles")
+    left = held.withColumn("other", F.explode(F.sequence(F.col("tile"), F.col("tiles") - 1)))
+    right = held.select(join_key("bucket", "tile").alias("tk"), F.col("texts").alias("others"))
+    both = left.withColumn("tk", join_key("bucket", "other")).join(right, "tk").select((F.col("tile") == F.col("other")).alias("same"), "texts", "others")
+
+    def arrays(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.array([t["node"] for t in texts]), np.array([t["label"] for t in texts]), np.frombuffer(b"".join(t["registers"] for t in texts), np.uint8).reshape(len(texts), -1)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for x in frame.itertuples(index=False):
+                nodes, labels, registers = arrays(x.texts)
+                nodes_b, labels_b, registers_b = arrays(x.others)
+                found: list[np.ndarray] = []
+                for i in range(len(nodes)):
+                    equal = (registers_b == registers[i]).sum(axis=1)
+                    hit = nodes_b[(equal >= least) & (labels_b != labels[i]) & ((nodes_b > nodes[i]) if x.same else True)]
+                    found.append(np.stack([np.minimum(hit, nodes[i]), np.maximum(hit, nodes[i])], axis=1))
+                yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+    return both.mapInPandas(run, "a long, b long").distinct()
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, window: int = WINDOW, n_bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th1, th2, class_id): a row a row of ``docs``, with the smallest id of its class.
 
@@ -79,43 +119,34 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, window: int = WINDO
     id get their class's id, null if no row of the class has one; repeated rows
     share a class. Nodes are 64-bit fingerprints of texts.
 
-    In every band all texts of a bucket are compared with its first one; then,
-    while a bucket holds texts of several classes, with ever more pivots of the
-    bucket, but only across classes. So a bucket of thousands of copies takes one
-    comparison for each, and no link is left out, however large the bucket.
+    In every band all texts of a bucket are compared with its first one, which
+    joins copies in one comparison each. Buckets that still hold several classes
+    are searched whole for links across them (``likely_pairs``), however large
+    they are. Both steps verify the bags themselves.
     """
     body = F.encode(words.text_or_empty(F.col(text_col)), "UTF-8")
     h1, h2 = words.fingerprint(F.col(text_col))
     wordy = words.text_or_empty(F.col(text_col)).rlike(words.WORD)
     keyed = docs.select(F.col(id_col).alias("id"), h1.alias("th1"), h2.alias("th2"), body.alias("body"), wordy.alias("wordy"))
     texts = keyed.select(F.col("th1").alias("node"), "body")
-    signed = bands(texts, window, n_bands, rows).groupBy("node").agg(F.first("bands").alias("bands"))
+    signed = bands(texts, window, n_bands, rows).groupBy("node").agg(F.first("bands").alias("bands"), F.first("registers").alias("registers"))
+    signed = materialize(signed, "near-signed")
     members = signed.select("node", F.explode("bands").alias("bucket"))
-    members = materialize(members, "near-members")
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).filter("n > 1").select(F.hex("bucket").alias("hb"), "pivot")
     members = materialize(members.withColumn("hb", F.hex("bucket")).join(shared, "hb").select("bucket", "node", "pivot"), "near-shared")
     wanted = members.select(F.col("node").alias("wanted")).distinct()
     bodies = materialize(texts.join(wanted, F.col("node") == F.col("wanted")).select("node", "body").dropDuplicates(["node"]), "near-texts")
 
-    pairs = members.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    tested, labels, pivots = None, None, PIVOTS
-    open_members = members.select("bucket", "node")
-    while True:
-        checked = materialize(verified(pairs, bodies, window, similarity), "near-checked")
-        tested = checked if tested is None else tested.unionByName(checked)
-        labels = components(tested.filter("linked"))
-        named = open_members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-        split = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select(F.hex("bucket").alias("hb"), "n")
-        live = named.withColumn("hb", F.hex("bucket")).join(split, "hb")
-        chosen = F.pmod(F.xxhash64("node", "bucket", F.lit(pivots)), F.ceil(F.col("n") / pivots).cast("long")) == 0
-        live = materialize(live.select("bucket", "node", "label", chosen.alias("chosen")), "near-live")
-        if live.isEmpty():
-            break
-        lead = live.filter("chosen").select(F.hex("bucket").alias("hb"), F.col("node").alias("lead"), F.col("label").alias("lead_label"))
-        across = live.withColumn("hb", F.hex("bucket")).join(lead, "hb").filter((F.col("label") != F.col("lead_label")) & (~F.col("chosen") | (F.col("lead") < F.col("node"))))
-        pairs = across.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        open_members = live.filter("not chosen").select("bucket", "node")
-        pivots *= 4
+    pairs = members.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()  # the pivot is the smaller node
+    stars = materialize(verified(pairs, bodies, window, similarity), "near-stars")
+    labels = components(stars.filter("linked"))
+    named = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    split = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select(F.hex("bucket").alias("hb"), "n")
+    live = named.withColumn("hb", F.hex("bucket")).join(split, "hb").drop("hb").join(signed.select("node", "registers"), "node")
+    likely = likely_pairs(live, similarity, n_bands * rows).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    across = materialize(verified(likely, bodies, window, similarity).filter("linked"), "near-across")
+    if not across.isEmpty():
+        labels = components(stars.filter("linked").unionByName(across))
 
     rows_of = materialize(keyed.select("id", "th1", "th2", "wordy"), "near-rows")
     named = rows_of.join(labels, rows_of["th1"] == labels["node"], "left").select("id", "th1", "th2", "wordy", F.coalesce("label", "th1").alias("label"))

@@ -46,9 +46,9 @@ def corpus(rng):
     return rows
 
 
-@pytest.mark.parametrize("pivots", [16, 1])
-def test_classes_against_all_pairs(spark, monkeypatch, pivots):
-    monkeypatch.setattr(near_dups, "PIVOTS", pivots)
+@pytest.mark.parametrize("tile", [256, 3])
+def test_classes_against_all_pairs(spark, monkeypatch, tile):
+    monkeypatch.setattr(near_dups, "TILE", tile)
     rows = corpus(random.Random(5))
     docs = spark.createDataFrame([(*r, 7, "b") for r in rows], "doc_id long, text string, node long, body string")
     got = near_dups.classes(docs).collect()
