@@ -75,17 +75,36 @@ def verified(pairs: DataFrame, texts: DataFrame, window: int, similarity: float)
     return with_both.select("a", "b", "a_body", "b_body").mapInPandas(run, "a long, b long, linked boolean")
 
 
-def likely_pairs(members: DataFrame, similarity: float, n_registers: int) -> DataFrame:
-    """(a, b), a < b: texts of a bucket in different classes whose registers don't rule the similarity out.
+def _root_of(parent: dict, x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = x = parent[parent[x]]
+    return x
+
+
+def _joined(parent: dict, a: int, b: int) -> bool:
+    """Puts two classes together; says whether they were apart."""
+    a, b = _root_of(parent, a), _root_of(parent, b)
+    parent[b] = a
+    return a != b
+
+
+def across_classes(members: DataFrame, similarity: float, n_registers: int, bodies: DataFrame | None = None, window: int = WINDOW) -> DataFrame:
+    """(a, b): pairs of a bucket's texts that would put different classes together.
 
     ``members`` is (bucket, n, node, label, registers). A bucket of n texts is cut
-    by hash into tiles of about ``TILE``, and a task compares the registers of two
-    tiles as arrays; only pairs that may be links become rows.
+    by hash into tiles of about ``TILE``, and a task compares two tiles as arrays.
+    Pairs whose registers rule the similarity out are passed over; of the others,
+    the most alike first, those become rows that join two classes not yet joined
+    in the task, so there are fewer of them than texts. Without ``bodies`` they
+    are guesses. With them every pair that the registers leave is decided by its
+    bags, and what doesn't come out links no two classes.
     """
     least = n_registers * similarity - DEVIATIONS * (n_registers * similarity * (1 - similarity)) ** 0.5
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     dealt = members.withColumns({"tiles": tiles, "tile": F.pmod(F.xxhash64("node"), tiles).cast("int")})
-    held = dealt.groupBy("bucket", "tiles", "tile").agg(F.collect_list(F.struct("node", "label", "registers")).alias("texts"))
+    exact = bodies is not None
+    dealt = dealt.join(bodies, "node") if exact else dealt.withColumn("body", F.lit(None).cast("binary"))
+    held = dealt.groupBy("bucket", "tiles", "tile").agg(F.collect_list(F.struct("node", "label", "registers", "body")).alias("texts"))
     held = materialize(held, "near-tiles")
     left = held.withColumn("other", F.explode(F.sequence(F.col("tile"), F.col("tiles") - 1)))
     right = held.select(join_key("bucket", "tile").alias("tk"), F.col("texts").alias("others"))
@@ -94,17 +113,33 @@ def likely_pairs(members: DataFrame, similarity: float, n_registers: int) -> Dat
     def arrays(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.array([t["node"] for t in texts]), np.array([t["label"] for t in texts]), np.frombuffer(b"".join(t["registers"] for t in texts), np.uint8).reshape(len(texts), -1)
 
+    def links(x) -> Iterator[tuple[int, int]]:
+        nodes, labels, registers = arrays(x.texts)
+        nodes_b, labels_b, registers_b = arrays(x.others)
+        some: list[np.ndarray] = []
+        for i in range(len(nodes)):
+            equal = (registers_b == registers[i]).sum(axis=1)
+            j = np.flatnonzero((equal >= least) & (labels_b != labels[i]) & ((nodes_b > nodes[i]) if x.same else True))
+            some.append(np.stack([equal[j], np.full(len(j), i), j], axis=1))
+        ranked = np.concatenate(some)
+        bags: dict[int, tuple] = {}
+        parent: dict[int, int] = {}
+        for _, i, j in ranked[np.argsort(-ranked[:, 0], kind="stable")]:
+            p, q = int(labels[i]), int(labels_b[j])
+            if exact and _root_of(parent, p) != _root_of(parent, q):
+                for node, text in ((nodes[i], x.texts[i]), (nodes_b[j], x.others[j])):
+                    if node not in bags:
+                        bags[node] = bagminhash.bag_of(text["body"], window)
+                common, union = bagminhash.overlap(bags[nodes[i]], bags[nodes_b[j]])
+                if common < similarity * union - 1e-9 * union:
+                    continue
+            if _joined(parent, p, q):
+                yield tuple(sorted((int(nodes[i]), int(nodes_b[j]))))
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for x in frame.itertuples(index=False):
-                nodes, labels, registers = arrays(x.texts)
-                nodes_b, labels_b, registers_b = arrays(x.others)
-                found: list[np.ndarray] = []
-                for i in range(len(nodes)):
-                    equal = (registers_b == registers[i]).sum(axis=1)
-                    hit = nodes_b[(equal >= least) & (labels_b != labels[i]) & ((nodes_b > nodes[i]) if x.same else True)]
-                    found.append(np.stack([np.minimum(hit, nodes[i]), np.maximum(hit, nodes[i])], axis=1))
-                yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+                yield pd.DataFrame(list(links(x)), columns=["a", "b"], dtype="int64")
 
     return both.mapInPandas(run, "a long, b long").distinct()
 
@@ -120,9 +155,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, window: int = WINDO
     share a class. Nodes are 64-bit fingerprints of texts.
 
     In every band all texts of a bucket are compared with its first one, which
-    joins copies in one comparison each. Buckets that still hold several classes
-    are searched whole for links across them (``likely_pairs``), however large
-    they are. Both steps verify the bags themselves.
+    joins copies in one comparison each. Then likely pairs are tried that would
+    join the classes that a bucket still holds. Buckets that hold several even
+    then are searched whole for a link across them (``across_classes``), however
+    large they are. All steps verify the bags themselves.
     """
     body = F.encode(words.text_or_empty(F.col(text_col)), "UTF-8")
     h1, h2 = words.fingerprint(F.col(text_col))
@@ -138,15 +174,19 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, window: int = WINDO
     bodies = materialize(texts.join(wanted, F.col("node") == F.col("wanted")).select("node", "body").dropDuplicates(["node"]), "near-texts")
 
     pairs = members.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()  # the pivot is the smaller node
-    stars = materialize(verified(pairs, bodies, window, similarity), "near-stars")
-    labels = components(stars.filter("linked"))
-    named = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    split = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select(F.hex("bucket").alias("hb"), "n")
-    live = named.withColumn("hb", F.hex("bucket")).join(split, "hb").drop("hb").join(signed.select("node", "registers"), "node")
-    likely = likely_pairs(live, similarity, n_bands * rows).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    across = materialize(verified(likely, bodies, window, similarity).filter("linked"), "near-across")
-    if not across.isEmpty():
-        labels = components(stars.filter("linked").unionByName(across))
+    found = materialize(verified(pairs, bodies, window, similarity).filter("linked").select("a", "b"), "near-stars")
+    labels = components(found)
+    for last in (False, True):
+        named = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+        split = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select(F.hex("bucket").alias("hb"), "n")
+        live = named.withColumn("hb", F.hex("bucket")).join(split, "hb").drop("hb").join(signed.select("node", "registers"), "node")
+        more = across_classes(live, similarity, n_bands * rows, bodies if last else None, window)
+        if not last:
+            more = verified(more, bodies, window, similarity).filter("linked").select("a", "b")
+        more = materialize(more, "near-across")
+        if not more.isEmpty():
+            found = found.unionByName(more)
+            labels = components(found)
 
     rows_of = materialize(keyed.select("id", "th1", "th2", "wordy"), "near-rows")
     named = rows_of.join(labels, rows_of["th1"] == labels["node"], "left").select("id", "th1", "th2", "wordy", F.coalesce("label", "th1").alias("label"))
