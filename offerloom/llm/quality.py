@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from offerloom.llm import words
 from offerloom.llm.line_rules import drop_lines, join_key, row_key
+from offerloom.llm.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -115,8 +116,13 @@ def judged(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", t
 
 
 def clean(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the lines above their limits removed; columns as in ``docs``."""
-    kept = judged(docs, limits, id_col, text_col, source_col).filter("kept").select(join_key("id", "th1", "th2").alias("_row")).distinct()
+    """The rows of ``docs`` that the rules keep, with the lines above their limits removed; columns as in ``docs``.
+
+    The verdicts are written first: a filter on them would be pushed below the
+    measures and make each of them many times over.
+    """
+    verdicts = materialize(judged(docs, limits, id_col, text_col, source_col).select(join_key("id", "th1", "th2").alias("_row"), "kept"), "quality-verdicts")
+    kept = verdicts.filter("kept").select("_row").distinct()
     keyed = docs.withColumn("_row", F.struct(*row_key(docs, id_col, text_col))).withColumn("_row", join_key("_row.id", "_row.th1", "_row.th2"))
     passed = keyed.join(kept, "_row", "left_semi").drop("_row")
     gone = frequent_lines(docs, limits, id_col, text_col, source_col).select("id", "th1", "th2", "pos")
