@@ -9,7 +9,7 @@ and stay in the JVM. Null is the empty string throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,19 +70,30 @@ def squeezed(c: Column) -> Column:
     return strip(F.regexp_replace(text(c), f"[{SPACE}]+", " "))
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
 def lookup(c: Column, table: Mapping[str, str], otherwise: Column | None = None) -> Column:
     """The entry of a small fixed table, else ``otherwise`` (the key itself)."""
     entries = F.create_map(*(F.lit(x) for pair in table.items() for x in pair))
-    return F.coalesce(F.element_at(entries, c), c if otherwise is None else otherwise)
+    if otherwise is None:
+        return let(c, lambda x: F.coalesce(F.element_at(entries, x), x))
+    return F.coalesce(F.element_at(entries, c), otherwise)
 
 
 def first_contained(c: Column, choices: Iterable[tuple[str, str]], otherwise: Column) -> Column:
     """The value of the first (part, value) whose part is in the text."""
-    chain = None
-    for part, value in choices:
-        hit = c.contains(part)
-        chain = F.when(hit, value) if chain is None else chain.when(hit, value)
-    return otherwise if chain is None else chain.otherwise(otherwise)
+    listed = list(choices)
+
+    def chain(x: Column) -> Column:
+        out = F.when(x.contains(listed[0][0]), listed[0][1])
+        for part, value in listed[1:]:
+            out = out.when(x.contains(part), value)
+        return out
+
+    return F.coalesce(let(c, chain), otherwise)
 
 
 def alternatives(words: Iterable[str]) -> str:
@@ -90,7 +101,7 @@ def alternatives(words: Iterable[str]) -> str:
 
 
 def without_brand(lowered: Column, brand: Column) -> Column:
-    return F.when(F.length(text(brand)) > 0, F.replace(lowered, F.lower(text(brand)), F.lit(""))).otherwise(lowered)
+    return let(lowered, lambda x: F.when(F.length(text(brand)) > 0, F.replace(x, F.lower(text(brand)), F.lit(""))).otherwise(x))
 
 
 # brands ---------------------------------------------------------------------
@@ -306,18 +317,26 @@ def bigrams(tokens: Column) -> Column:
     return F.transform(kept, lambda p: F.concat(p["a"], F.lit(" "), p["b"]))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """In [0, 1]: the smaller coverage of distinct words, or of bigrams if that is higher.
+def similarity_parts(core: Column) -> tuple[Column, Column]:
+    """(distinct words, bigrams) of a core, once a row, for ``similarity_of``."""
+    kept = _compared(core)
+    return F.array_distinct(synonyms(kept)), bigrams(words(F.array_join(kept, " ")))
+
+
+def similarity_of(words_a: Column, bigrams_a: Column, words_b: Column, bigrams_b: Column) -> Column:
+    """In [0, 1]: the smaller coverage of distinct words, or of bigrams if that is higher; 0 without words.
 
     The Jaccard similarity of the words never exceeds their smaller coverage, so it needs no term.
     """
-    wa, wb = _compared(a), _compared(b)
-    sa, sb = F.array_distinct(synonyms(wa)), F.array_distinct(synonyms(wb))
-    cover = F.size(F.array_intersect(sa, sb)) / F.greatest(F.size(sa), F.size(sb), F.lit(1))
-    ba, bb = bigrams(words(F.array_join(wa, " "))), bigrams(words(F.array_join(wb, " ")))
-    common = F.size(F.filter(ba, lambda x: F.array_contains(bb, x)))
-    pairs = F.when((F.size(ba) > 0) & (F.size(bb) > 0), common / F.greatest(F.size(ba), F.size(bb))).otherwise(0.0)
-    return F.when((F.size(words(a)) == 0) | (F.size(words(b)) == 0), 0.0).otherwise(F.greatest(cover, pairs))
+    cover = F.size(F.array_intersect(words_a, words_b)) / F.greatest(F.size(words_a), F.size(words_b), F.lit(1))
+    common = F.size(F.filter(bigrams_a, lambda x: F.array_contains(bigrams_b, x)))
+    pairs = F.when((F.size(bigrams_a) > 0) & (F.size(bigrams_b) > 0), common / F.greatest(F.size(bigrams_a), F.size(bigrams_b))).otherwise(0.0)
+    return F.when((F.size(words_a) == 0) | (F.size(words_b) == 0), 0.0).otherwise(F.greatest(cover, pairs))
+
+
+def similarity(a: Column, b: Column) -> Column:
+    """``similarity_of`` two cores."""
+    return similarity_of(*similarity_parts(a), *similarity_parts(b))
 
 
 def word_set(name: Column) -> Column:

@@ -41,9 +41,10 @@ def counted(events: DataFrame, key: str, ts: str, seconds: int, limit: int, orde
     return events.repartition(key).sortWithinPartitions(key, ts, tie).mapInPandas(fold, schema)
 
 
-def stream(events: DataFrame, key: str, ts: str, seconds: int, limit: int, idle: str = "1 hour") -> DataFrame:
-    """(key, ts, count, limited) of a stream; a key's state is its window's start and count, dropped when idle."""
-    key_type, idle_ms = events.schema[key].dataType.simpleString(), int(pd.Timedelta(idle).total_seconds() * 1000)
+def stream(events: DataFrame, key: str, ts: str, seconds: int, limit: int, idle: str | None = "1 hour") -> DataFrame:
+    """(key, ts, count, limited) of a stream; a key's state is its window's start and count, dropped after ``idle``."""
+    key_type, idle_ms = events.schema[key].dataType.simpleString(), int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
 
     def fold(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -59,10 +60,11 @@ def stream(events: DataFrame, key: str, ts: str, seconds: int, limit: int, idle:
             n += 1
             numbers.append(n)
         state.update((start, n))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({key: k[0], ts: rows[ts], "count": numbers, "limited": [x > limit for x in numbers]})
 
-    return events.select(key, ts).groupBy(key).applyInPandasWithState(fold, f"{key} {key_type}, {ts} timestamp, count long, limited boolean", "start long, n long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return events.select(key, ts).groupBy(key).applyInPandasWithState(fold, f"{key} {key_type}, {ts} timestamp, count long, limited boolean", "start long, n long", "append", timeout)
 
 
 def valid_email(email: Column) -> Column:
