@@ -17,6 +17,15 @@ def variants_of_sellers(clean: DataFrame) -> DataFrame:
     return matching.variant_groups(keyed, ["site", "_brand", "category", "_core", "_shade", "_size"]).drop("_brand", "_core", "_shade", "_size")
 
 
+def clean_offers(sellers: dict[str, DataFrame], barcodes: DataFrame | None = None) -> DataFrame:
+    """Offers of all sellers in normal form that no quality rule rejects.
+
+    The normal form is written first: the filter would be pushed below it and
+    make names and brands anew for each of its rules.
+    """
+    return offers.quality_filter(materialize(offers.normalised(offers.union_sources(sellers), barcodes), "offers"))
+
+
 def integrate(sellers: dict[str, DataFrame], barcodes: DataFrame | None = None, rules: DataFrame | None = None) -> DataFrame:
     """Final products from each seller's offers (with ``pos``).
 
@@ -24,8 +33,7 @@ def integrate(sellers: dict[str, DataFrame], barcodes: DataFrame | None = None,
     presentation and substitutes. Features are computed once and written, as
     three tiers read them.
     """
-    clean = offers.quality_filter(offers.normalised(offers.union_sources(sellers), barcodes))
-    featured = materialize(matching.with_features(variants_of_sellers(clean)), "features")
+    featured = materialize(matching.with_features(variants_of_sellers(clean_offers(sellers, barcodes))), "features")
     matches = materialize(matching.matched(featured), "matches")
     products = masters.final_products(masters.master_groups(matches))
     if rules is None:

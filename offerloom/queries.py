@@ -11,7 +11,7 @@ from offerloom.functions import dictionaries as d
 from offerloom.functions import links, prices, text
 from offerloom.operators import masters, matching, offers, robots
 from offerloom.plans import sql_text as q
-from offerloom.plans.integrate import integrate, variants_of_sellers
+from offerloom.plans.integrate import clean_offers, integrate, variants_of_sellers
 from offerloom.plans.samples import BRANDS, CATEGORIES, LINE_OFFERS, NAMED_PARTS, NAMES, line_offers, named_parts, pick, seller_offers, sql_list, sql_pick, table
 from offerloom.sources import landed, markup, sinks
 from offerloom.streaming import limiter
@@ -531,5 +531,4 @@ def q39_integrate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def q40_variant_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = offers.quality_filter(offers.normalised(offers.union_sources(seller_offers(spark, sf_dir))))
-    return matching.variant_statistics(variants_of_sellers(clean))
+    return matching.variant_statistics(variants_of_sellers(clean_offers(seller_offers(spark, sf_dir))))
