@@ -91,9 +91,10 @@ def _joined(parent: dict, a: int, b: int) -> bool:
 def across_classes(members: DataFrame, similarity: float, n_registers: int, bodies: DataFrame | None = None, window: int = WINDOW) -> DataFrame:
     """(a, b): pairs of a bucket's texts that would put different classes together.
 
-    ``members`` is (bucket, n, node, label, registers). A bucket of n texts is cut
+    ``members`` is (bucket, n, node, label, bands, registers). A bucket of n texts is cut
     by hash into tiles of about ``TILE``, and a task compares two tiles as arrays.
-    Pairs whose registers rule the similarity out are passed over; of the others,
+    Pairs whose registers rule the similarity out are passed over, and so are
+    those that share an earlier band, in whose bucket they meet too; of the others,
     the most alike first, those become rows that join two classes not yet joined
     in the task, so there are fewer of them than texts. Without ``bodies`` they
     are guesses. With them every pair that the registers leave is decided by its
@@ -104,22 +105,25 @@ def across_classes(members: DataFrame, similarity: float, n_registers: int, bodi
     dealt = members.withColumns({"tiles": tiles, "tile": F.pmod(F.xxhash64("node"), tiles).cast("int")})
     exact = bodies is not None
     dealt = dealt.join(bodies, "node") if exact else dealt.withColumn("body", F.lit(None).cast("binary"))
-    held = dealt.groupBy("bucket", "tiles", "tile").agg(F.collect_list(F.struct("node", "label", "registers", "body")).alias("texts"))
+    held = dealt.groupBy("bucket", "tiles", "tile").agg(F.collect_list(F.struct("node", "label", "bands", "registers", "body")).alias("texts"))
     held = materialize(held, "near-tiles")
     left = held.withColumn("other", F.explode(F.sequence(F.col("tile"), F.col("tiles") - 1)))
     right = held.select(join_key("bucket", "tile").alias("tk"), F.col("texts").alias("others"))
-    both = left.withColumn("tk", join_key("bucket", "other")).join(right, "tk").select((F.col("tile") == F.col("other")).alias("same"), "texts", "others")
+    both = left.withColumn("tk", join_key("bucket", "other")).join(right, "tk").select("bucket", (F.col("tile") == F.col("other")).alias("same"), "texts", "others")
 
-    def arrays(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.array([t["node"] for t in texts]), np.array([t["label"] for t in texts]), np.frombuffer(b"".join(t["registers"] for t in texts), np.uint8).reshape(len(texts), -1)
+    def arrays(texts) -> tuple[np.ndarray, ...]:
+        registers = np.frombuffer(b"".join(t["registers"] for t in texts), np.uint8).reshape(len(texts), -1)
+        return np.array([t["node"] for t in texts]), np.array([t["label"] for t in texts]), np.array([t["bands"] for t in texts]), registers
 
     def links(x) -> Iterator[tuple[int, int]]:
-        nodes, labels, registers = arrays(x.texts)
-        nodes_b, labels_b, registers_b = arrays(x.others)
+        nodes, labels, bands_a, registers = arrays(x.texts)
+        nodes_b, labels_b, bands_b, registers_b = arrays(x.others)
         some: list[np.ndarray] = []
         for i in range(len(nodes)):
             equal = (registers_b == registers[i]).sum(axis=1)
             j = np.flatnonzero((equal >= least) & (labels_b != labels[i]) & ((nodes_b > nodes[i]) if x.same else True))
+            common = bands_b[j] == bands_a[i]
+            j = j[bands_a[i][np.argmax(common, axis=1)] == x.bucket] if len(j) else j
             some.append(np.stack([equal[j], np.full(len(j), i), j], axis=1))
         ranked = np.concatenate(some)
         bags: dict[int, tuple] = {}
@@ -179,7 +183,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, window: int = WINDO
     for last in (False, True):
         named = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
         split = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select(F.hex("bucket").alias("hb"), "n")
-        live = named.withColumn("hb", F.hex("bucket")).join(split, "hb").drop("hb").join(signed.select("node", "registers"), "node")
+        live = named.withColumn("hb", F.hex("bucket")).join(split, "hb").drop("hb").join(signed, "node")
         more = across_classes(live, similarity, n_bands * rows, bodies if last else None, window)
         if not last:
             more = verified(more, bodies, window, similarity).filter("linked").select("a", "b")
