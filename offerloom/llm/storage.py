@@ -1,39 +1,14 @@
-"""Work tables in the folder that every executor can reach."""
+"""Work tables, and how much of a table a Python worker gets at once."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from offerloom.worktables import materialize, shared_dir, work_path
 
-_CONF = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is set only where none is named (local tests)."""
-    named = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF, None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="offerloom-")
-        spark.conf.set(_CONF, named)
-    return named.rstrip("/")
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/offerloom/{name}-{uuid.uuid4().hex}"
+__all__ = ["bounded_batches", "materialize", "shared_dir", "work_path"]
 
 
 def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
     """Rows go to Python workers in batches of this size, not of 64 MB: long texts fill no worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as Parquet in the shared folder and reads it again.
-
-    The lineage ends at files that outlive any executor, and whatever reads the
-    result repeatedly doesn't compute it again.
-    """
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
