@@ -11,7 +11,8 @@ from offerloom.llm.storage import materialize
 
 #: Ranges of the sampling hash in which a source's words are summed before the cut is looked for.
 RANGES = 4096
-TOP_UPS = 3
+#: Times at most that each source gets another document to come nearer to its target.
+TOP_UPS = 8
 
 
 def source_key(source_col: str) -> Column:
@@ -82,7 +83,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float =
     A document is taken whole, floor(target / source size) times, and once more if
     the seeded order of its source's documents puts it before the cut that the
     remaining fraction makes. What is missing there is topped up by the largest
-    document that still fits, ``TOP_UPS`` times, so that a source comes near its
+    document that still fits, up to ``TOP_UPS`` times, so that a source comes near its
     target though documents are never cut. Nothing depends on partitioning: reruns
     agree. Null and empty texts have size 0; a null source is a source of its own,
     the last one; rows equal in id, text and source are taken alike.
@@ -101,6 +102,9 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float =
         keyed = chosen.withColumn("tk", F.concat(F.lit("t"), "sk"))
         fits = keyed.filter(~F.col("chosen") & (F.col("size") > 0)).join(left, "tk").filter(weight <= F.col("left"))
         best = fits.groupBy("tk").agg(F.max(F.struct(weight.alias("w"), "h", F.struct("id", "th1", "th2").alias("row"))).alias("b")).select("tk", F.col("b.row").alias("row"))
+        best = materialize(best, "mix-best")
+        if best.isEmpty():
+            break
         chosen = keyed.join(best, "tk", "left").withColumn("chosen", F.col("chosen") | F.coalesce(F.struct("id", "th1", "th2").eqNullSafe(F.col("row")), F.lit(False))).drop("tk", "row")
         chosen = materialize(chosen, "mix-chosen")
     return chosen.select("id", "th1", "th2", "source", "sk", "copies", "size", "source_size", "target", (F.col("whole") + F.col("chosen").cast("int")).alias("times"))
