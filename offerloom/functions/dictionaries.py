@@ -485,3 +485,17 @@ GIFT_WORDS = ('hediye seti', 'hediye set', 'avantaj paketi', 'avantajlı paket',
 CAR_WORDS = ('ford', 'volkswagen', 'vw', 'renault', 'toyota', 'honda', 'bmw', 'mercedes', 'audi', 'opel', 'fiat', 'hyundai', 'kia', 'peugeot', 'citroen', 'seat', 'skoda', 'volvo', 'passat', 'focus', 'corolla', 'civic', 'golf', 'polo', 'mais')
 OTHER_GOODS = ('led far', 'xenon', r'oto\s', 'otomobil', 'araç', 'araba', 'motor', 'motosiklet', 'ampul', 'silecek', 'bisiklet', 'koşu bandı', 'çadır', 'spor aleti', 'dambıl', 'halter', 'kondisyon', 'çanta', 'cüzdan', 'valiz', 'şemsiye', 'tarak', 'törpü', 'cımbız', 'yastık', 'yorgan', 'battaniye', 'havlu', 'bornoz', 'aksesuar', 'ocak', 'fırın', 'çamaşır', 'bulaşık', 'süpürge', 'aspiratör', 'klima', 'televizyon', 'telefon kart', 'laptop', 'tablet', 'kulaklık', 'hoparlör', 'şarj', 'kablo', 'pil ', 'halı', 'perde', 'tencere', 'tava', 'tabak', 'bardak', 'çatal', 'kaşık', 'bıçak', 'elektrikli', 'kontör', 'ps4', 'ps5', 'xbox', 'playstation', 'nintendo', 'oyun kulaklık', 'penis', 'anal', 'vibrat')
 CLOTHES = ('termal', 'fanila', 'korse', 'atlet', 'tayt', 'boxer', 'külot', 'çorap', 'pantolon', 'gömlek', 'tişört', 't-shirt', 'sweatshirt', 'mont', 'ceket', 'palto', 'elbise', 'etek', 'şort')
+
+#: Signs of categories; others have the last one.
+CATEGORY_SIGNS = {
+    'fondoten': '✨', 'kapatici': '💫', 'primer': '🌟', 'allik': '🌸', 'aydinlatici': '💡', 'bronzer': '🌞', 'kontur': '🎭', 'pudra': '🌿', 'maskara': '👁️', 'far': '💜', 'far-paleti': '🎨', 'eyeliner': '✏️',
+    'goz-kalemi': '🖊️', 'ruj': '💄', 'dudak-parlatici': '✨', 'dudak-kalemi': '🖊️', 'dipliner': '✏️', 'kas-kalemi': '✒️', 'kas-fari': '🤎', 'kas-sabitleyici': '🌿', 'bb-cc-krem': '💧', 'makyaj-sabitleyici': '💨', 'makyaj-seti': '🎁', 'vucut-simi': '✨',
+}
+OTHER_SIGN = '💄'
+
+#: Parts of urls that tell a category, in order, and parts of urls of make-up.
+URL_CATEGORIES = {
+    '/nemlendirici/': 'nemlendirici', '/serum/': 'serum', '/gunes-koruyucu/': 'gunes-koruyucu', '/temizleme/': 'cilt-temizleme', '/tonik/': 'tonik', '/goz-kremi/': 'goz-kremi', '/maske/': 'cilt-maskesi',
+    '/peeling/': 'peeling', '/krem/': 'nemlendirici', '/cilt-bakimi/': 'nemlendirici', '/parfum/': 'parfum', '/dus-jeli/': 'dus-jeli', '/vucut-losyonu/': 'vucut-losyonu', '/vucut-bakimi/': 'vucut-losyonu',
+}
+MAKE_UP_URLS = ('/makyaj/', '/ten-makyaji/', '/dudak-makyaji/', '/goz-makyaji/')

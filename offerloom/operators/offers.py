@@ -143,3 +143,33 @@ def kept_pages(rows: DataFrame, groups: list[str], page: str, key: str, least_ne
     before = Window.partitionBy(*groups).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
     read = pages.withColumn("over", F.coalesce(F.max("stops").over(before), F.lit(False))).filter("NOT over")
     return rows.join(read.select(*groups, page, "n_keys", F.coalesce("n_new", F.lit(0)).alias("n_new"), "stops"), [*groups, page])
+
+
+def with_sign(rows: DataFrame, category: str = "category", out: str = "emoji") -> DataFrame:
+    return rows.withColumn(out, text.lookup(F.col(category), d.CATEGORY_SIGNS, F.lit(d.OTHER_SIGN)))
+
+
+def by_url_category(rows: DataFrame, url: str = "productUrl") -> DataFrame:
+    """Rows that aren't make-up by their url, with the ``category`` that it tells; rows that it tells none of are left out."""
+    make_up = F.greatest(*(F.coalesce(F.col(url).contains(x), F.lit(False)) for x in d.MAKE_UP_URLS))
+    return rows.filter(~make_up).withColumn("category", links.category_of(F.col(url), d.URL_CATEGORIES)).filter("category != ''")
+
+
+def with_code_in(rows: DataFrame, codes: DataFrame, url: str = "productUrl") -> DataFrame:
+    """Rows whose url has one of ``codes`` (code)."""
+    return rows.withColumn("_code", links.product_code(F.col(url))).join(codes.select(F.col("code").alias("_code")).distinct(), "_code", "left_semi").drop("_code")
+
+
+def first_pages(rows: DataFrame, most: int, page: str = "page") -> DataFrame:
+    return rows.filter(F.col(page) <= most)
+
+
+def top_rows(rows: DataFrame, keys: list[str], most: int, idx: str = "idx") -> DataFrame:
+    """The first ``most`` rows of each key."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(idx))
+    return rows.withColumn("_n", rank).filter(F.col("_n") <= most).drop("_n")
+
+
+def looks_missing(body: Column, status: Column) -> Column:
+    """Whether a landed page is an error page, whatever its status says."""
+    return (F.coalesce(status, F.lit(200)) >= 400) | text.matches(body, r"(?:sayfa bulunamadı|page not found|404)")

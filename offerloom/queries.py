@@ -532,3 +532,41 @@ def q39_integrate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def q40_variant_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.variant_statistics(variants_of_sellers(clean_offers(seller_offers(spark, sf_dir))))
+
+
+@query(f"""
+SELECT part, coalesce(MAP {{{", ".join(f"{q.lit(k)}: {q.lit(v)}" for k, v in d.CATEGORY_SIGNS.items())}}}[category], {q.lit(d.OTHER_SIGN)}) AS emoji
+FROM (SELECT p_partkey AS part, {sql_pick(CATEGORIES, "p_partkey")} AS category FROM part)
+""")
+def q41_category_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offers.with_sign(named_parts(spark, sf_dir)).select("part", "emoji")
+
+
+#: The sample of url paths.
+PATHS = ("/serum/x/p/1", "/makyaj/serum/p/2", "/maske/peeling/p/3", "/diger/p/4", "/cilt-bakimi/a/p/5")
+
+
+@query(f"""
+SELECT part, url, list_extract(['serum', '', 'cilt-maskesi', '', 'nemlendirici'], (part % 5 + 1)::INT) AS category
+FROM (SELECT p_partkey AS part, 'http://s' || {sql_pick(PATHS, "p_partkey")} || p_partkey AS url FROM part) WHERE part % 5 NOT IN (1, 3)
+""")
+def q42_url_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.concat(F.lit("http://s"), pick(PATHS, F.col("p_partkey")), F.col("p_partkey").cast("string")).alias("url"))
+    return offers.by_url_category(part, "url").select("part", "url", "category")
+
+
+@query("SELECT p_partkey AS part FROM part WHERE p_partkey IN (SELECT s_suppkey FROM supplier)")
+def q43_code_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.concat(F.lit("http://s/p/"), F.col("p_partkey")).alias("productUrl"))
+    codes = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("code"))
+    return offers.with_code_in(part, codes).select("part")
+
+
+@query(f"""
+WITH {LINE_OFFERS}, r AS (SELECT part, idx, row_number() OVER (PARTITION BY part ORDER BY idx) AS n FROM offers)
+SELECT part, idx, row_number() OVER (ORDER BY part, idx) + 4999 AS id FROM r WHERE n <= 3
+""")
+def q44_top_rows_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three offers of each product, numbered from 5000 on."""
+    rows = offers.top_rows(line_offers(spark, sf_dir), ["part"], 3).select("part", "idx")
+    return masters.numbered(rows, ["part", "idx"], "id", first=5000)
