@@ -134,7 +134,8 @@ SELECT barcode, arg_min(s.idx, s.site_idx) AS base_idx, (SELECT count(*) FROM k
 FROM s JOIN g USING (barcode) GROUP BY barcode
 """)
 def q05_key_match_multi_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = _coded(spark, sf_dir)
+    needed = ["idx", "site", "price", "min_price", "variant_count", "productUrl", "imageUrl", "barcode", "category", "brand_key", "sizes", "word_set", "shades"]
+    coded = matching.materialize(_coded(spark, sf_dir).select(*needed), "coded")
     matched, used = matching.barcode_matches(coded)
     taken = coded.join(used, "idx").groupBy("barcode").agg(F.count("*").alias("n_consumed"))
     return matched.select("barcode", F.col("idx").alias("base_idx"), F.size("prices").alias("n_prices")).join(taken, "barcode")
