@@ -44,8 +44,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     bounded_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    both = bpe.decode(ids, path, public_tokenizers.PATTERN, out_col="decoded")
+    both = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), path, public_tokenizers.PATTERN)
     exact = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return both.select("doc_id", "source", F.size("tokens").cast("long").alias("n_tokens"), "tokens", exact.alias("round_trip"))
 

@@ -16,12 +16,15 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 LEAF_CHARS = 8192
 FIRST_WINDOW = 32
+#: Rows that a worker encodes before it hands them on.
+BATCH_ROWS = 128
 #: ASCII punctuation that is no apostrophe; with letters and digits, what may come before a sure boundary.
 _SURE = frozenset('!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
 
@@ -81,21 +84,50 @@ def decode_ids(ids: list[int], decode, leaf: int = LEAF_CHARS) -> bytes:
     return decode_ids(ids[:cut], decode, leaf) + decode_ids(ids[cut:], decode, leaf)
 
 
-def _mapped(df: DataFrame, source: str, out: str, kind: T.DataType, arrow: pa.DataType, make) -> DataFrame:
-    names = [c for c in df.columns if c != out]
-    schema = T.StructType([df.schema[c] for c in names] + [T.StructField(out, kind)])
+def _mapped(df: DataFrame, source: str, outs: list[tuple[str, T.DataType, pa.DataType]], make) -> DataFrame:
+    """``df`` with columns ``outs`` that the functions of ``make()`` give, the first one of ``source``, each other of the one before.
+
+    Values are made a row at a time and kept as Arrow arrays; no batch is ever a list of Python numbers.
+    """
+    names = [c for c in df.columns if c not in [o[0] for o in outs]]
+    schema = T.StructType([df.schema[c] for c in names] + [T.StructField(name, kind) for name, kind, _ in outs])
+    row_names = [name for name, _, _ in outs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = make()
+        chain = make()
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                got = pa.array([f(x) for x in batch.column(source).to_pylist()], arrow)
-                yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [got], names=[*names, out])
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                made: list[list] = [[] for _ in outs]
+                for x in batch.column(source):
+                    x = x.as_py()
+                    for f, column, (_, _, arrow) in zip(chain, made, outs):
+                        x = f(x)
+                        column.append(np.asarray(x, np.int32) if pa.types.is_list(arrow) else x)
+                got = [pa.array(column, arrow) for column, (_, _, arrow) in zip(made, outs)]
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + got, names=[*names, *row_names])
 
     return df.mapInArrow(run, schema)
 
 
+def _encoding(ranks_path: str, pattern: str, leaf: int):
+    enc = encoder(ranks_path, pattern).encode_ordinary
+    return lambda text: encode_text(text, enc, leaf) if text else []
+
+
+def _decoding(ranks_path: str, pattern: str, leaf: int):
+    dec = encoder(ranks_path, pattern).decode_bytes
+    return lambda ids: decode_ids(ids, dec, leaf) if ids else b""
+
+
+def _ids(name: str) -> tuple[str, T.DataType, pa.DataType]:
+    return name, T.ArrayType(T.IntegerType()), pa.list_(pa.int32())
+
+
+def _bytes(name: str) -> tuple[str, T.DataType, pa.DataType]:
+    return name, T.BinaryType(), pa.binary()
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", out_col: str = "tokens", leaf: int = LEAF_CHARS) -> DataFrame:
     """Adds ``out_col`` array<int>: the token ids of the whole text, without special tokens.
 
@@ -103,19 +135,14 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
     name; all others stay, and each row is encoded by itself, so repeated rows
     repeat. ``ranks_path`` must be readable on every executor.
     """
-
-    def make():
-        enc = encoder(ranks_path, pattern).encode_ordinary
-        return lambda text: encode_text(text, enc, leaf) if text else []
-
-    return _mapped(df, text_col, out_col, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()), make)
+    return _mapped(df, text_col, [_ids(out_col)], lambda: [_encoding(ranks_path, pattern, leaf)])
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "tokens", out_col: str = "decoded", leaf: int = LEAF_CHARS) -> DataFrame:
     """Adds ``out_col`` binary: the bytes that the ids stand for; none for null or no ids."""
+    return _mapped(df, ids_col, [_bytes(out_col)], lambda: [_decoding(ranks_path, pattern, leaf)])
 
-    def make():
-        dec = encoder(ranks_path, pattern).decode_bytes
-        return lambda ids: decode_ids(ids, dec, leaf) if ids else b""
 
-    return _mapped(df, ids_col, out_col, T.BinaryType(), pa.binary(), make)
+def encode_and_decode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "tokens", out_col: str = "decoded", leaf: int = LEAF_CHARS) -> DataFrame:
+    """``encode``, then ``decode`` of the ids, in one pass: a task has one Python worker and not two."""
+    return _mapped(df, text_col, [_ids(ids_col), _bytes(out_col)], lambda: [_encoding(ranks_path, pattern, leaf), _decoding(ranks_path, pattern, leaf)])

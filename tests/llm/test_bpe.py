@@ -27,4 +27,6 @@ def test_frame(spark):
     rows = bpe.decode(bpe.encode(docs, PATH, PATTERN), PATH, PATTERN).collect()
     assert [bytes(r.decoded).decode() for r in rows] == ["", "", "Hello world", "Hello world"]
     assert [len(r.tokens) for r in rows] == [0, 0, 2, 2]
+    both = bpe.encode_and_decode(docs, PATH, PATTERN)
+    assert both.columns == ["doc_id", "text", "tokens", "decoded"] and both.collect() == rows
     assert bpe.encode(docs.limit(0), PATH, PATTERN).count() == 0
