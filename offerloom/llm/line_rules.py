@@ -24,24 +24,28 @@ def join_key(*cols: str) -> Column:
     return F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols))
 
 
-def drop_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text", only: DataFrame | None = None) -> DataFrame:
     """``docs`` without the lines at ``dropped`` (id, th1, th2, pos from 0), reassembled by position.
 
     Adds ``n_lines`` and ``n_dropped`` (long) and replaces the text; a text with
     nothing dropped stays as it is, null included. The runs of lines between two
     dropped positions are sliced out and joined, so a text takes time in
-    proportion to its length.
+    proportion to its length. ``only`` (_line_row, each once: ``join_key`` of id, th1 and th2)
+    leaves out the rows that it doesn't name, in the same join. Columns of ``docs``
+    whose names begin with ``_line_`` are the function's own.
     """
-    gone = dropped.groupBy("id", "th1", "th2").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
-    gone = gone.select(join_key("id", "th1", "th2").alias("row_key"), "gone")
-    keyed = docs.withColumns({"row_key": F.struct(*row_key(docs, id_col, text_col)), "line_list": words.lines(F.col(text_col))})
-    keyed = keyed.withColumn("row_key", join_key("row_key.id", "row_key.th1", "row_key.th2"))
-    both = keyed.join(gone.hint("shuffle_hash"), "row_key", "left")
-    n = F.size("line_list")
-    starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda p: p + 1))
-    ends = F.concat(F.col("gone"), F.array(n))
+    gone = dropped.groupBy("id", "th1", "th2").agg(F.sort_array(F.collect_set("pos")).alias("_line_gone"))
+    gone = gone.select(join_key("id", "th1", "th2").alias("_line_row"), "_line_gone")
+    if only is not None:
+        gone = only.join(gone, "_line_row", "left")
+    keyed = docs.withColumns({"_line_row": F.struct(*row_key(docs, id_col, text_col)), "_line_list": words.lines(F.col(text_col))})
+    keyed = keyed.withColumn("_line_row", join_key("_line_row.id", "_line_row.th1", "_line_row.th2"))
+    both = keyed.join(gone.hint("shuffle_hash"), "_line_row", "left" if only is None else "inner")
+    n = F.size("_line_list")
+    starts = F.concat(F.array(F.lit(0)), F.transform("_line_gone", lambda p: p + 1))
+    ends = F.concat(F.col("_line_gone"), F.array(n))
     runs = F.filter(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda r: r["b"] > r["a"])
-    kept = F.flatten(F.transform(runs, lambda r: F.slice("line_list", r["a"] + 1, r["b"] - r["a"])))
-    text = F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    out = both.withColumns({text_col: text, "n_lines": n.cast("long"), "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long")})
-    return out.withColumn("n_dropped", F.greatest("n_dropped", F.lit(0))).drop("row_key", "line_list", "gone")
+    kept = F.flatten(F.transform(runs, lambda r: F.slice("_line_list", r["a"] + 1, r["b"] - r["a"])))
+    text = F.when(F.col("_line_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    out = both.withColumns({text_col: text, "n_lines": n.cast("long"), "n_dropped": F.coalesce(F.size("_line_gone"), F.lit(0)).cast("long")})
+    return out.withColumn("n_dropped", F.greatest("n_dropped", F.lit(0))).drop("_line_row", "_line_list", "_line_gone")

@@ -96,17 +96,19 @@ def frequent_lines(docs: DataFrame, limits: Limits = Limits(), id_col: str = "do
     return lines.withColumn("key", join_key("host", "k1", "k2")).join(over, "key").select("id", "th1", "th2", "pos", "n")
 
 
-def judged(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def judged(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", over: DataFrame | None = None) -> DataFrame:
     """(id, th1, th2, the measures, base_failed, kept): a verdict a row of ``docs``.
 
     ``base_failed``: fewer than ``min_words`` words, or words in repeated windows
     above ``max_repeat_percent`` of all. ``kept``: not that, and not depleted.
     Null and empty texts have no words and fail. A null source is a host of its
     own. Repeated rows get a verdict each; the same one where id and text are equal.
+    ``over``: the result of ``frequent_lines``, where it is there already.
     """
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     rows = measured(docs.select(F.col(id_col), F.col(text_col)), text_col, limits.window).select(*row_key(docs, id_col, text_col), *measures)
-    lost = frequent_lines(docs, limits, id_col, text_col, source_col).distinct().groupBy("id", "th1", "th2").agg(F.sum("n").alias("n_lost"))
+    over = frequent_lines(docs, limits, id_col, text_col, source_col) if over is None else over
+    lost = over.distinct().groupBy("id", "th1", "th2").agg(F.sum("n").alias("n_lost"))
     lost = lost.select(join_key("id", "th1", "th2").alias("row_key"), "n_lost")
     both = rows.withColumn("row_key", join_key("id", "th1", "th2")).join(lost, "row_key", "left").drop("row_key")
     left = F.col("n_words") - F.coalesce("n_lost", F.lit(0))
@@ -118,12 +120,10 @@ def judged(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", t
 def clean(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the lines above their limits removed; columns as in ``docs``.
 
-    The verdicts are written first: a filter on them would be pushed below the
-    measures and make each of them many times over.
+    The lines above their limits are found once and written, and so are the
+    verdicts: a filter on them would be pushed below the measures and make each
+    of them many times over. ``drop_lines`` states what column names it keeps for itself.
     """
-    verdicts = materialize(judged(docs, limits, id_col, text_col, source_col).select(join_key("id", "th1", "th2").alias("_row"), "kept"), "quality-verdicts")
-    kept = verdicts.filter("kept").select("_row").distinct()
-    keyed = docs.withColumn("_row", F.struct(*row_key(docs, id_col, text_col))).withColumn("_row", join_key("_row.id", "_row.th1", "_row.th2"))
-    passed = keyed.join(kept, "_row", "left_semi").drop("_row")
-    gone = frequent_lines(docs, limits, id_col, text_col, source_col).select("id", "th1", "th2", "pos")
-    return drop_lines(passed, gone, id_col, text_col).select(*docs.columns)
+    over = materialize(frequent_lines(docs, limits, id_col, text_col, source_col), "quality-lines")
+    verdicts = materialize(judged(docs, limits, id_col, text_col, source_col, over).select(join_key("id", "th1", "th2").alias("_line_row"), "kept"), "quality-verdicts")
+    return drop_lines(docs, over, id_col, text_col, only=verdicts.filter("kept").select("_line_row").distinct()).select(*docs.columns)
