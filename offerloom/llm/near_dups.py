@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from offerloom.llm import bagminhash, words
 from offerloom.llm.components import components
-from offerloom.llm.line_rules import join_key
+from offerloom.llm.line_rules import join_key, row_key
 from offerloom.llm.storage import materialize
 
 #: A pair at the similarity 0.8 shares no band with a probability of (1 - 0.8 ** 5) ** 30, under 1 in 100,000.
 BANDS, ROWS, WINDOW, SIMILARITY = 30, 5, 5, 0.8
 #: Bytes of text that a task signs at once; about so many texts in a tile of a bucket.
-SIGN_BYTES, TILE = 1 << 20, 256
+SIGN_BYTES, TILE = 1 << 18, 256
 #: Standard deviations that an estimate by registers may lie below the similarity before its pair is passed over.
 DEVIATIONS = 4.6
 
@@ -202,7 +202,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, window: int = WINDO
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class, the one with the smallest id (of repeated rows one); rows with a null id stay if their class has no other."""
     found = classes(docs, id_col=id_col, text_col=text_col, **options)
-    kept = found.filter(F.col("id").eqNullSafe(F.col("class_id"))).select(join_key("id", "th1", "th2").alias("_row")).distinct()
-    h1, h2 = words.fingerprint(F.col(text_col))
-    keyed = docs.withColumns({"_id": F.col(id_col), "_th1": h1, "_th2": h2}).withColumn("_row", join_key("_id", "_th1", "_th2"))
-    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    kept = found.filter(F.col("id").eqNullSafe(F.col("class_id"))).select(join_key("id", "th1", "th2").alias("_near_row")).distinct()
+    keyed = docs.withColumn("_near_row", F.struct(*row_key(docs, id_col, text_col)))
+    keyed = keyed.withColumn("_near_row", join_key("_near_row.id", "_near_row.th1", "_near_row.th2"))
+    return keyed.join(kept, "_near_row", "left_semi").dropDuplicates(["_near_row"]).select(*docs.columns)
