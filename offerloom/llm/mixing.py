@@ -113,8 +113,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float =
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixture itself: the rows of ``docs``, each as often as the mix takes it; columns as in ``docs``."""
     plan = mixed(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).filter("times > 0")
-    plan = plan.select(join_key("id", "th1", "th2", "sk").alias("_row"), "times")
-    keyed = docs.withColumn("_key", F.struct(*row_key(docs, id_col, text_col), source_key(source_col).alias("sk")))
-    keyed = keyed.withColumn("_row", join_key("_key.id", "_key.th1", "_key.th2", "_key.sk")).drop("_key")
-    taken = keyed.join(plan.hint("shuffle_hash"), "_row")
-    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    plan = plan.select(join_key("id", "th1", "th2", "sk").alias("_mix_row"), F.col("times").alias("_mix_times"))
+    keyed = docs.withColumn("_mix_row", F.struct(*row_key(docs, id_col, text_col), source_key(source_col).alias("sk")))
+    keyed = keyed.withColumn("_mix_row", join_key("_mix_row.id", "_mix_row.th1", "_mix_row.th2", "_mix_row.sk"))
+    taken = keyed.join(plan.hint("shuffle_hash"), "_mix_row")
+    return taken.withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)
