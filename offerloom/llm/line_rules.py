@@ -24,6 +24,14 @@ def join_key(*cols: str) -> Column:
     return F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols))
 
 
+def moved(*cols: str) -> list[Column]:
+    """Long columns ``m0``, ``m1``, ... that are equal where ``cols`` (longs) are, for a join.
+
+    They have the use of ``join_key`` for rows of many: two or three longs a row and no string.
+    """
+    return [F.col(c).bitwiseXOR(F.lit(0x5DEECE66D)).alias(f"m{i}") for i, c in enumerate(cols)]
+
+
 def drop_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text", only: DataFrame | None = None) -> DataFrame:
     """``docs`` without the lines at ``dropped`` (id, th1, th2, pos from 0), reassembled by position.
 
@@ -40,7 +48,7 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text
         gone = only.join(gone, "_line_row", "left")
     keyed = docs.withColumns({"_line_row": F.struct(*row_key(docs, id_col, text_col)), "_line_list": words.lines(F.col(text_col))})
     keyed = keyed.withColumn("_line_row", join_key("_line_row.id", "_line_row.th1", "_line_row.th2"))
-    both = keyed.join(gone.hint("shuffle_hash"), "_line_row", "left" if only is None else "inner")
+    both = keyed.join(gone, "_line_row", "left" if only is None else "inner")
     n = F.size("_line_list")
     starts = F.concat(F.array(F.lit(0)), F.transform("_line_gone", lambda p: p + 1))
     ends = F.concat(F.col("_line_gone"), F.array(n))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.llm import words
-from offerloom.llm.line_rules import drop_lines, join_key, row_key
+from offerloom.llm.line_rules import drop_lines, join_key, moved, row_key
 from offerloom.llm.storage import materialize
 
 
@@ -16,18 +16,19 @@ from offerloom.llm.storage import materialize
 class Limits:
     """Limits of the rules.
 
-    A line is above its limit in a host when more than ``line_docs`` distinct
-    texts, and more than ``line_share`` of the host's distinct texts, hold it. A
-    document is depleted when such lines leave it fewer than ``min_words`` words
-    or less than ``min_left`` of its words.
+    A line is above its limit in a host when more than ``line_share`` of the host's
+    documents hold it; at least ``line_docs`` must, which only keeps chance out of
+    hosts of a few documents. A document is depleted when such lines leave it fewer
+    than ``min_words`` words or less than ``min_left`` of its words: 30 % of a text
+    in repeated lines is the limit that the published Gopher rules set within one.
     """
 
     min_words: int = 10
     max_repeat_percent: int = 20
     window: int = 5
-    line_docs: int = 100
-    line_share: float = 0.01
-    min_left: float = 0.3
+    line_docs: int = 5
+    line_share: float = 0.1
+    min_left: float = 0.7
 
 
 SYMBOLS = "[#*$%&|<>]"
@@ -73,27 +74,27 @@ def host_key(source_col: str) -> Column:
 
 
 def keyed_lines(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(id, th1, th2, host, pos, k1, k2, n): every line with a word, by its key, and its words."""
+    """(id, th1, th2, host, pos, k1, k2, n): every line with a word, by its key, and its words; ``host`` is hashed in."""
     rows = docs.select(*row_key(docs, id_col, text_col), host_key(source_col).alias("host"), F.posexplode(words.lines(F.col(text_col))).alias("pos", "line"))
-    k1, k2 = words.fingerprint(words.line_key(F.col("line")))
+    k1, k2 = words.fingerprint(F.col("host"), words.line_key(F.col("line")))
     return rows.select("id", "th1", "th2", "host", "pos", k1.alias("k1"), k2.alias("k2"), words.word_count(F.col("line")).alias("n")).filter("n > 0")
 
 
 def frequent_lines(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, th1, th2, pos, n): the lines above their host's limit, with their words.
 
-    A document counts once a host however often its text is repeated there, so
-    copies of a page don't make its lines boilerplate. Equal (host, line, text)
-    meet first, and what is dealt by (host, line) are sums.
+    A document is an id (null is one too), and counts once for a line of its host
+    however often it holds it. The lines are cut, keyed and written once; equal
+    (host, line, id) meet first, and what is dealt by (host, line) are sums.
     """
-    lines = keyed_lines(docs, id_col, text_col, source_col)
-    held = lines.groupBy("host", "k1", "k2", "th1", "th2").agg(F.lit(1).alias("one"))
-    counts = held.groupBy("host", "k1", "k2").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > limits.line_docs)
-    texts = docs.select(host_key(source_col).alias("host"), *words.fingerprint(F.col(text_col))).toDF("host", "th1", "th2").distinct()
-    hosts = texts.groupBy("host").agg(F.count("*").alias("host_docs"))
+    lines = materialize(keyed_lines(docs, id_col, text_col, source_col), "quality-keys")
+    held = lines.groupBy("k1", "k2", "id").agg(F.first("host").alias("host"))
+    counts = held.groupBy("k1", "k2").agg(F.first("host").alias("host"), F.count("*").alias("n_docs")).filter(F.col("n_docs") >= limits.line_docs)
+    documents = docs.select(host_key(source_col).alias("host"), F.col(id_col).alias("id")).distinct()
+    hosts = documents.groupBy("host").agg(F.count("*").alias("host_docs"))
     over = counts.withColumn("hk", F.concat(F.lit("h"), "host")).join(hosts.select(F.concat(F.lit("h"), "host").alias("hk"), "host_docs"), "hk")
-    over = over.filter(F.col("n_docs") > F.col("host_docs") * limits.line_share).select(join_key("host", "k1", "k2").alias("key"))
-    return lines.withColumn("key", join_key("host", "k1", "k2")).join(over, "key").select("id", "th1", "th2", "pos", "n")
+    over = over.filter(F.col("n_docs") > F.col("host_docs") * limits.line_share).select(*moved("k1", "k2"))
+    return lines.select("*", *moved("k1", "k2")).join(over, ["m0", "m1"]).select("id", "th1", "th2", "pos", "n")
 
 
 def judged(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", over: DataFrame | None = None) -> DataFrame:
@@ -103,6 +104,9 @@ def judged(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", t
     above ``max_repeat_percent`` of all. ``kept``: not that, and not depleted.
     Null and empty texts have no words and fail. A null source is a host of its
     own. Repeated rows get a verdict each; the same one where id and text are equal.
+    Lines above the limit count against whole texts, however long, and a text that
+    fails by the base rules is counted among its host's documents all the same.
+    Columns of ``docs`` but those three are ignored.
     ``over``: the result of ``frequent_lines``, where it is there already.
     """
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

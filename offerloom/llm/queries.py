@@ -97,9 +97,9 @@ l AS (
 k AS (
   SELECT doc_id, text, host, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
   FROM l),
-f AS (SELECT host, key, count(DISTINCT text) AS n_docs FROM k WHERE n > 0 GROUP BY host, key),
-h AS (SELECT coalesce('s' || source, '-') AS host, count(DISTINCT text) AS host_docs FROM d GROUP BY 1),
-o AS (SELECT f.host, f.key FROM f JOIN h USING (host) WHERE n_docs > {_LIMITS.line_docs} AND n_docs > host_docs * {_LIMITS.line_share}),
+f AS (SELECT host, key, count(DISTINCT doc_id) AS n_docs FROM k WHERE n > 0 GROUP BY host, key),
+h AS (SELECT coalesce('s' || source, '-') AS host, count(DISTINCT doc_id) AS host_docs FROM d GROUP BY 1),
+o AS (SELECT f.host, f.key FROM f JOIN h USING (host) WHERE n_docs >= {_LIMITS.line_docs} AND n_docs > host_docs * {_LIMITS.line_share}),
 x AS (SELECT doc_id, sum(n) AS n_lost FROM k JOIN o USING (host, key) GROUP BY doc_id),
 a AS (
   SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_words - coalesce(n_lost, 0) AS left_words

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -42,16 +43,48 @@ def test_quality_measures(spark):
     assert quality.judged(docs.limit(0)).count() == 0
 
 
-def test_frequent_lines_deplete(spark):
-    limits = quality.Limits(line_docs=3, line_share=0.1, min_words=3)
-    body = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
-    rows = [(i, f"Shared menu line of site\n{body(i)}", "h") for i in range(6)] + [(10, "shared MENU line of site\nonly this", "h"), (11, f"Shared menu line of site\n{body(11)}", "other")]
-    rows += [(20 + i, body(99) + "\ncopied page line one", "h") for i in range(8)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    assert {r.id for r in quality.judged(docs, limits).collect() if not r.kept} == {10}
-    cleaned = {r.doc_id: r.text for r in quality.clean(docs, limits).collect()}
-    assert set(cleaned) == {r[0] for r in rows} - {10}
-    assert cleaned[0] == body(0) and cleaned[11].startswith("Shared") and cleaned[20] == rows[8][1]
+def brute_quality(rows, limits=quality.Limits()):
+    """({row number: kept}, {row number: cleaned text}) of rows (doc_id, text, source)."""
+    strip = lambda x: re.sub(r"^[ \t-\r]+|[ \t-\r]+$", "", x)
+    key = lambda x: "".join(c.lower() if "A" <= c <= "Z" else c for c in strip(x))
+    holders, hosts = {}, {}
+    for i, t, s in rows:
+        hosts.setdefault(s, set()).add(i)
+        for x in (t or "").split("\n"):
+            if x.split():
+                holders.setdefault((s, key(x)), set()).add(i)
+    over = {(s, k) for (s, k), ids in holders.items() if len(ids) >= limits.line_docs and len(ids) > limits.line_share * len(hosts[s])}
+    kept, cleaned = {}, {}
+    for n, (_, t, s) in enumerate(rows):
+        m = measures(t)
+        lines = (t or "").split("\n")
+        left = m[0] - sum(len(x.split()) for x in lines if (s, key(x)) in over)
+        good = m[0] >= limits.min_words and 100 * m[4] <= limits.max_repeat_percent * m[0]
+        kept[n] = good and left >= limits.min_words and left >= m[0] * limits.min_left
+        cleaned[n] = "\n".join(x for x in lines if (s, key(x)) not in over)
+    return kept, cleaned
+
+
+def test_frequent_lines_by_default_limits(spark):
+    """Both outcomes on hosts of 5, 50 and 500 documents, on a null host, for base failures, repeated rows and a very long text."""
+    rng = random.Random(8)
+    body = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows, at = [], 0
+    for host, n in (("five", 5), ("fifty", 50), ("many", 500), (None, 30), ("four", 4)):
+        for k in range(n):
+            at += 1
+            often = "  Shared MENU line of this site \t" if k % 2 else "shared menu line of this site"
+            rows.append((at, (f"{often}\n" if n < 6 or k % 6 == 0 else "rare line of it\n" if k % 11 == 0 else "") + body(rng.choice([4, 9, 14, 40])), host))
+    rows += [(at + 1, "shared menu line of this site\n" + "same words here again now " * 9, "fifty")] * 2
+    rows += [(at + 2, "\n".join([body(9000), *["shared menu line of this site"] * 3000]), "many"), (at + 3, None, "five"), (None, "", None)]
+    docs = spark.createDataFrame([(i, t, s, 1, 2) for i, t, s in rows], "doc_id long, text string, source string, n_lost int, host int")
+    kept, cleaned = brute_quality(rows)
+    base = [measures(t)[0] >= 10 and 100 * measures(t)[4] <= 20 * measures(t)[0] for _, t, _ in rows]
+    by_lines = [s for n, (_, _, s) in enumerate(rows) if base[n] and not kept[n]]
+    assert {"five", "fifty", "many", None} <= set(by_lines) and "four" not in by_lines
+    got = sorted((r.id if r.id is not None else -1, r.kept, r.base_failed) for r in quality.judged(docs).collect())
+    assert got == sorted((i if i is not None else -1, kept[n], not base[n]) for n, (i, _, _) in enumerate(rows))
+    assert sorted((r.doc_id, r.text) for r in quality.clean(docs).collect()) == sorted((i, cleaned[n]) for n, (i, _, _) in enumerate(rows) if kept[n])
 
 
 def test_mixing(spark):

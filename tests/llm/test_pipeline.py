@@ -5,17 +5,19 @@ import public_tokenizers
 
 import corpus_pipeline
 from offerloom.llm import bpe
+from tests.llm.test_native import brute_quality
 
 LINE = "this line of forty characters and more is in many documents"
+OTHER = "this line is in fewer of them, under a tenth of each source"
 
 
 def corpus(rng):
     words = [f"word{i}" for i in range(300)]
     text = lambda n: "\n".join(" ".join(rng.choice(words) for _ in range(12)) for _ in range(n))
-    rows = [(i, text(rng.randrange(2, 9)) + (f"\n{LINE}" if i % 4 == 0 else ""), "en", rng.choice("abc")) for i in range(40)]
+    rows = [(i, text(rng.randrange(2, 9)) + (f"\n{LINE}" if i % 4 == 0 else "") + (f"\n{OTHER}" if i % 18 == 1 else ""), "en", rng.choice("abc")) for i in range(150)]
     long = text(30)
-    rows += [(100 + i, long.replace(f"word{i}", "other", 1), "en", "a") for i in range(5)] + [(110, long, "en", "b"), (111, long, "en", "b")]
-    rows += [(200, "too short", "en", "a"), (201, "same words here again now " * 30, "en", "a"), (202, None, "en", None), (203, "", None, "a")]
+    rows += [(1000 + i, long.replace(f"word{i}", "other", 1), "en", "a") for i in range(5)] + [(1010, long, "en", "b"), (1011, long, "en", "b")]
+    rows += [(2000, "too short", "en", "a"), (2001, "same words here again now " * 30, "en", "a"), (2002, None, "en", None), (2003, "", None, "a")]
     return [(*r, len(r[1] or "")) for r in rows]
 
 
@@ -32,11 +34,12 @@ def test_stages_against_brute_force(spark, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         kept.append({r.doc_id: r for r in docs.collect()} if k != 3 else docs.collect())
 
-    good = {r[0]: r[1] for r in rows if r[0] not in (200, 201, 202, 203)}
+    keeps, cleaned = brute_quality([(r[0], r[1], r[3]) for r in rows])
+    good = {r[0]: cleaned[n] for n, r in enumerate(rows) if keeps[n]}
+    assert all(LINE not in t for t in good.values()) and sum(OTHER in t for t in good.values()) >= 5
+    assert {1000, 1010} & set(good) and not {2000, 2001, 2002, 2003} & set(good)
     assert {i: r.text for i, r in kept[0].items()} == good
 
-    holders = [i for i, t in good.items() if LINE in t.split("\n")]
-    deduped = {i: "\n".join(x for x in t.split("\n") if x != LINE or i == max(holders)) for i, t in good.items()}
     counts = Counter(x for t in good.values() for x in set(t.split("\n")) if len(x) >= 40)
     repeated = {x: max(i for i, t in good.items() if x in t.split("\n")) for x, n in counts.items() if n >= 5}
     deduped = {i: "\n".join(x for x in t.split("\n") if x not in repeated or i == repeated[x]) for i, t in good.items()}
