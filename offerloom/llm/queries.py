@@ -180,8 +180,9 @@ FROM m GROUP BY doc_id
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, with the tokens that repeated runs and markup took."""
     bounded_batches(spark)
-    return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+    return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_repeated", "n_marked")
 
 
 QUERIES: dict[str, Query] = {
