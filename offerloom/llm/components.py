@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from offerloom.llm.storage import materialize
 
+#: Edges of a node that one part holds.
+HUB = 1024
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each node's component; ``edges`` is (a long, b long).
@@ -14,11 +17,25 @@ def components(edges: DataFrame) -> DataFrame:
     Every round a node takes the smallest label among its neighbours and then
     that label's own label, so a path of n nodes takes about log n rounds. A
     round's table is written to the shared folder; the driver sees one count.
+    The edges of a node with over ``HUB`` of them are dealt in parts of about so
+    many, and its label goes to each part.
     """
     both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "components-edges")
+    hubs = materialize(both.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts")).filter("parts > 1"), "components-hubs")
+    if not hubs.isEmpty():
+        part = F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).cast("int")
+        both = materialize(both.withColumn("hb", F.hex("b")).join(hubs.select(F.hex("b").alias("hb"), "parts"), "hb", "left").select("a", "b", part.alias("part")), "components-parts")
+    else:
+        both = both.withColumn("part", F.lit(0))
+        hubs = None
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("label")), "components-labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        told = labels.select(F.col("node").alias("b"), "label")
+        if hubs is None:
+            told = told.withColumn("part", F.lit(0))
+        else:
+            told = told.join(hubs, "b", "left").select("b", "label", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+        near = both.join(told, ["b", "part"]).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("new"))
         own = labels.select(F.col("node").alias("new"), F.col("label").alias("own"))
         moved = materialize(step.join(own, "new").select("node", F.least("new", "own").alias("label"), (F.col("label") != F.least("new", "own")).alias("moved")), "components-labels")

@@ -4,7 +4,10 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from offerloom.llm import bagminhash, near_dups
+from pyspark.sql import functions as F
+
+from offerloom.llm import bagminhash, near_dups, words
+from offerloom.llm import components as components_module
 from offerloom.llm.components import components
 
 
@@ -46,15 +49,43 @@ def corpus(rng):
     return rows
 
 
-@pytest.mark.parametrize("tile", [256, 3])
-def test_classes_against_all_pairs(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile,tile_bytes,deviations", [(256, 4 << 20, 4.6), (3, 4 << 20, 4.6), (256, 900, None)])
+def test_classes_against_all_pairs(spark, monkeypatch, tile, tile_bytes, deviations):
     monkeypatch.setattr(near_dups, "TILE", tile)
+    monkeypatch.setattr(near_dups, "TILE_BYTES", tile_bytes)
+    monkeypatch.setattr(components_module, "HUB", 1024 if tile == 256 else 2)
     rows = corpus(random.Random(5))
     docs = spark.createDataFrame([(*r, 7, "b") for r in rows], "doc_id long, text string, node long, body string")
-    got = near_dups.classes(docs).collect()
+    got = near_dups.classes(docs, deviations=deviations).collect()
     assert {r.id: r.class_id for r in got} == brute(rows) and len(got) == len(rows)
 
 
+def test_texts_that_collide_in_64_bits(spark, monkeypatch):
+    """All texts have the same first fingerprint; only the second one tells them apart."""
+    whole = words.fingerprint
+    monkeypatch.setattr(words, "fingerprint", lambda *parts: (F.lit(5).cast("long"), whole(*parts)[1]))
+    rows = corpus(random.Random(7))[:120]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.id: r.class_id for r in near_dups.classes(docs).collect()} == brute(rows)
+
+
+def test_pairs_below_the_similarity_in_one_bucket(spark, monkeypatch):
+    """The exact step fetches only texts that registers leave, and decides them by their bags, very long texts too."""
+    monkeypatch.setattr(near_dups, "TILE", 2)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = []
+    for i in range(12):
+        copy = list(base)
+        for k in range(8):
+            copy[(i * 31 + k * 47) % 400] = f"x{i}y{k}"
+        rows.append((i, " ".join(copy)))
+    rows += [(20, "long " + " ".join(base) * 300), (21, "long " + " ".join(base) * 300 + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.class_id for r in near_dups.classes(docs).collect()}
+    assert got == brute(rows) and got[21] == 20
+
+
 def test_nulls_and_repeats(spark):
     rows = [(1, None), (2, None), (None, "x y z"), (5, "x y z"), (5, "x y z"), (9, ""), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
