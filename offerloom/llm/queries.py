@@ -51,11 +51,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")
+    return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits", "hit_weight")
 
 
 def _op3_sql() -> str:
     hit = lambda term: f"regexp_matches(low, '(^|[^a-z0-9]){term}($|[^a-z0-9])')::INT"
+    sum_of = lambda terms, weighed: " + ".join(f"{w} * {hit(t)}" if weighed else hit(t) for t, w in terms)
     rules = sorted(urls.RULES, key=lambda r: -len(r.host + r.path))
     fits = lambda r: f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -65,12 +66,13 @@ WITH u AS (
          {lower.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")} AS host,
          regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
   FROM pages),
-h AS (SELECT *, ({" + ".join(map(hit, urls.DEFAULT.strict))})::INT AS strict_hits, ({" + ".join(map(hit, urls.DEFAULT.soft))})::INT AS soft_hits FROM u)
+h AS (SELECT *, ({sum_of(urls.DEFAULT.of(True), False)})::INT AS strict_hits, ({sum_of(urls.DEFAULT.of(False), False)})::INT AS soft_hits,
+             ({sum_of(urls.DEFAULT.weights, True)})::INT AS hit_weight FROM u)
 SELECT page_id, host, path,
        CASE {" ".join(f"{fits(r)} THEN '{r.host}{r.path}'" for r in rules)} END AS rule,
        CASE {" ".join(f"{fits(r)} THEN '{r.verdict}'" for r in rules)}
-            WHEN strict_hits >= 1 OR soft_hits >= {urls.DEFAULT.soft_hits} THEN 'block' ELSE 'allow' END AS verdict,
-       strict_hits, soft_hits
+            WHEN hit_weight >= {urls.DEFAULT.limit} THEN 'block' ELSE 'allow' END AS verdict,
+       strict_hits, soft_hits, hit_weight
 FROM h
 """
 
@@ -118,12 +120,12 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id::BIGINT AS vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  SELECT vec_id::BIGINT AS vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+  FROM (SELECT DISTINCT * FROM v) q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
@@ -159,6 +161,31 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce('s' || source, '-') AS sk, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT sk, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY sk),
+w AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
+l AS (
+  SELECT a.cap / a.weight AS ratio, (1.5::DOUBLE * sum(b.source_size) - coalesce(sum(b.cap) FILTER (b.cap / b.weight < a.cap / a.weight), 0)) / sum(b.weight) FILTER (b.cap / b.weight >= a.cap / a.weight) AS level
+  FROM w a, w b GROUP BY a.cap / a.weight),
+t AS (SELECT sk, source_size, least(cap, weight * coalesce((SELECT min_by(level, ratio) FROM l WHERE level <= ratio), 'inf'::DOUBLE)) AS target FROM w),
+g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
+r AS (
+  SELECT doc_id, sk, size, source_size, target, whole, target - whole * source_size AS part, ('0x' || substr(md5('20|' || doc_id || '|' || sk), 1, 15))::BIGINT AS h FROM d JOIN g USING (sk)),
+c AS (SELECT *, sum(size) OVER (PARTITION BY sk ORDER BY h ROWS UNBOUNDED PRECEDING) <= part AS chosen FROM r),
+m AS (SELECT sk, any_value(part) - coalesce(sum(size) FILTER (chosen), 0) AS missing FROM c GROUP BY sk),
+f AS (SELECT sk, size, min(h) AS h FROM c WHERE NOT chosen AND size > 0 GROUP BY sk, size),
+x AS (
+  SELECT sk, missing, 9223372036854775807::BIGINT AS size, 0 AS n FROM m
+  UNION ALL
+  SELECT x.sk, x.missing - max(f.size), max(f.size), x.n + 1 FROM x JOIN f ON f.sk = x.sk AND f.size <= x.missing AND f.size < x.size WHERE x.n < 8 GROUP BY x.sk, x.missing, x.n),
+e AS (SELECT sk, size, h FROM x JOIN f USING (sk, size))
+SELECT doc_id, c.size, source_size, target, (c.size * (whole + (chosen OR e.h IS NOT NULL)::INT))::BIGINT AS taken
+FROM c LEFT JOIN e ON e.sk = c.sk AND e.size = c.size AND e.h = c.h
+"""
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
@@ -203,5 +230,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": _op3_sql(),
     "op4_quality": OP4_SQL,
     "op5_topk": OP5_SQL,
+    "op8_mixing": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
 }

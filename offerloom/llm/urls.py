@@ -5,27 +5,52 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerloom.llm.words import LOWER, UPPER
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Terms in lower-case ASCII. One strict term rejects; so do ``soft_hits`` distinct soft ones."""
+    """Weights of terms (lower-case ASCII), and the sum of the distinct terms of a url that rejects it.
 
-    strict: tuple[str, ...]
-    soft: tuple[str, ...]
-    soft_hits: int = 2
+    A term of weight ``limit`` is strict, as it rejects alone; all others are soft
+    and take several.
+    """
+
+    weights: tuple[tuple[str, int], ...]
+    limit: int = 10
+
+    def of(self, strict: bool) -> tuple[tuple[str, int], ...]:
+        return tuple((t, w) for t, w in self.weights if (w >= self.limit) == strict)
 
 
-#: The default vocabulary.
-DEFAULT = Vocabulary(
-    strict=("porn", "porno", "xxx", "hentai", "escort", "escorts", "camgirl", "camgirls", "casino", "jackpot", "viagra", "cialis", "warez", "keygen"),
-    soft=("adult", "bet", "bets", "betting", "bonus", "cams", "cheap", "crack", "dating", "download", "free", "gamble", "hot", "loan", "loans", "nude", "pills", "poker", "sex", "sexy", "slots", "torrent", "win", "xx"),
-)
+#: The default vocabulary. What adults' sites are named by weighs 6 and takes any other term; a lone x
+#: takes one of these; other soft terms weigh 5 and take one more.
+DEFAULT = Vocabulary((
+    ("porn", 10), ("porno", 10), ("xxx", 10), ("hentai", 10), ("escort", 10), ("escorts", 10), ("camgirl", 10), ("camgirls", 10), ("casino", 10), ("casinos", 10), ("jackpot", 10),
+    ("viagra", 10), ("cialis", 10), ("warez", 10), ("keygen", 10),
+    ("adult", 6), ("nude", 6), ("sex", 6), ("sexy", 6), ("xx", 6),
+    ("bet", 5), ("bets", 5), ("betting", 5), ("bonus", 5), ("cams", 5), ("cheap", 5), ("crack", 5), ("dating", 5), ("download", 5), ("free", 5), ("gamble", 5), ("hot", 5), ("loan", 5), ("loans", 5),
+    ("pills", 5), ("poker", 5), ("slots", 5), ("torrent", 5), ("win", 5),
+    ("x", 4),
+))
+
+
+def vocabulary_of(table: DataFrame, limit: int = 10, most: int = 1_000_000) -> Vocabulary:
+    """The vocabulary of a table (term, weight), lower-cased; of a term's rows the largest weight counts.
+
+    Every worker holds the automaton, so the table is bounded: more than ``most``
+    terms are refused. Null and empty terms and null weights are left out.
+    """
+    rows = table.select(F.lower(F.trim("term")).alias("term"), F.col("weight").cast("int").alias("weight")).filter("term <> '' AND weight IS NOT NULL")
+    found = rows.groupBy("term").agg(F.max("weight").alias("weight")).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"a url vocabulary of over {most} terms")
+    return Vocabulary(tuple(sorted((r["term"], r["weight"]) for r in found)), limit)
 
 
 @dataclass(frozen=True)
@@ -60,55 +85,60 @@ def rule_column(host_col: Column, path_col: Column, rules: tuple[Rule, ...], out
     return chain
 
 
+HITS = ("strict_hits", "soft_hits", "hit_weight")
+
+
 def term_hits(urls: DataFrame, vocabulary: Vocabulary, url_col: str = "url") -> DataFrame:
-    """Adds ``strict_hits`` and ``soft_hits`` (int): distinct terms in the lower-cased url.
+    """Adds ``strict_hits``, ``soft_hits`` and ``hit_weight`` (int): distinct terms in the lower-cased url, and their weights.
 
     A term counts where no ASCII letter or digit touches either end. A null url
-    has none. All other columns stay; columns of those two names are replaced.
+    has none. All other columns stay; columns of those three names are replaced.
     """
-    names = [c for c in urls.columns if c not in ("strict_hits", "soft_hits")]
-    schema = ", ".join(f"`{c}` {urls.schema[c].dataType.simpleString()}" for c in names) + ", strict_hits int, soft_hits int"
+    names = [c for c in urls.columns if c not in HITS]
+    schema = T.StructType([urls.schema[c] for c in names])
+    for name in HITS:
+        schema = schema.add(name, "integer")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
         machine = ahocorasick.Automaton()
-        for kind, terms in (("strict", vocabulary.strict), ("soft", vocabulary.soft)):
-            for term in terms:
-                machine.add_word(term, (kind, term))
-        filled = bool(vocabulary.strict or vocabulary.soft)
-        if filled:
+        for term, weight in vocabulary.weights:
+            machine.add_word(term, (term, weight))
+        if vocabulary.weights:
             machine.make_automaton()
         fold = str.maketrans(UPPER, LOWER)
         word = lambda c: c.isascii() and c.isalnum()
 
-        def count(url: str | None) -> tuple[int, int]:
-            text, hits = (url or "").translate(fold), {"strict": set(), "soft": set()}
-            for last, (kind, term) in machine.iter(text) if filled else ():
+        def count(url: str | None) -> tuple[int, int, int]:
+            text, hits = (url or "").translate(fold), {}
+            for last, (term, weight) in machine.iter(text) if vocabulary.weights else ():
                 first = last - len(term) + 1
                 if not (first and word(text[first - 1])) and not (last + 1 < len(text) and word(text[last + 1])):
-                    hits[kind].add(term)
-            return len(hits["strict"]), len(hits["soft"])
+                    hits[term] = weight
+            strict = sum(w >= vocabulary.limit for w in hits.values())
+            return strict, len(hits) - strict, sum(hits.values())
 
-        for frame in frames:
-            found = [count(u) for u in frame[url_col]]
-            frame = frame[names].assign(strict_hits=[a for a, _ in found], soft_hits=[b for _, b in found])
-            yield frame.astype({"strict_hits": "int32", "soft_hits": "int32"})
+        for batch in batches:
+            found = [count(u.as_py()) for u in batch.column(url_col)]
+            made = [pa.array([f[i] for f in found], pa.int32()) for i in range(len(HITS))]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + made, names=schema.names)
 
-    return urls.mapInPandas(run, schema)
+    return urls.mapInArrow(run, schema)
 
 
 def judge(urls: DataFrame, rules: tuple[Rule, ...] = RULES, vocabulary: Vocabulary = DEFAULT, url_col: str = "url") -> DataFrame:
-    """Adds host, path, rule, verdict, strict_hits and soft_hits to the rows of ``urls``.
+    """Adds host, path, rule, verdict, strict_hits, soft_hits and hit_weight to the rows of ``urls``.
 
-    ``verdict`` is the longest fitting rule's, else block for one strict or
-    ``vocabulary.soft_hits`` distinct soft terms, else allow. A null url, or one
+    ``verdict`` is the longest fitting rule's, else block if the weights of the
+    url's distinct terms reach ``vocabulary.limit``, which one strict term or
+    several soft ones do, else allow. Columns of these names are replaced. A null url, or one
     without ``://``, has an empty host and path and fits no rule; its text is
     still searched. Every row is judged alone: no shuffle, no state.
     """
     counted = term_hits(urls, vocabulary, url_col)
     h, p = host(F.col(url_col)), path(F.col(url_col))
-    rejected = (F.col("strict_hits") >= 1) | (F.col("soft_hits") >= vocabulary.soft_hits)
+    rejected = F.col("hit_weight") >= vocabulary.limit
     return (
         counted.withColumns({"host": h, "path": p})
         .withColumn("rule", rule_column(F.col("host"), F.col("path"), rules, "text"))

@@ -30,3 +30,19 @@ def test_frame(spark):
     both = bpe.encode_and_decode(docs, PATH, PATTERN)
     assert both.columns == ["doc_id", "text", "tokens", "decoded"] and both.collect() == rows
     assert bpe.encode(docs.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_registered_query(spark, tmp_path):
+    """Digests of the registered query against the library's own encoding of each whole text, very long ones too."""
+    import hashlib
+
+    from offerloom.llm import queries
+
+    rows = [(1, None), (2, ""), (3, "Grüße, 'll  x\n\ny"), (4, "word list " * 30_000), (5, "漢字" * 4000), (6, "same"), (7, "same"), (2**60 + 1, " \t ")]
+    spark.createDataFrame([(*r, "s", 3) for r in rows], "doc_id long, text string, tokens string, n_tokens int").write.parquet(f"{tmp_path}/documents.parquet")
+    enc = bpe.encoder(PATH, PATTERN)
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    ids = {i: enc.encode_ordinary(t or "") for i, t in rows}
+    expected = {i: (len(ids[i]), digest(" ".join(map(str, ids[i])).encode()), digest((t or "").encode())) for i, t in rows}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries.op6_bpe(spark, str(tmp_path)).collect()}
+    assert got == expected

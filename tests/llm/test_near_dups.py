@@ -129,3 +129,12 @@ def test_components(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(21)}, **{i: -5 for i in (100, 101, 102, -5)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_registered_query(spark, tmp_path):
+    from offerloom.llm import queries
+
+    rows = corpus(random.Random(11))[:200]
+    spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, class_id string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op7_near_dups(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "class_id"] and {r.doc_id: r.class_id for r in got.collect()} == brute(rows)
