@@ -42,3 +42,14 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "label")
         if moved.filter("moved").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after ``edges`` (a, b) more: only the graph of labels that they link is searched."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    known = edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    linked = known.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")).filter("a != b").distinct()
+    moved = components(linked).select(F.col("node").alias("was"), F.col("label").alias("now"))
+    kept = labels.join(moved, labels["label"] == moved["was"], "left").select("node", F.coalesce("now", "label").alias("label"))
+    fresh = moved.join(labels.select(F.col("node").alias("was")), "was", "left_anti").select(F.col("was").alias("node"), F.col("now").alias("label"))
+    return materialize(kept.unionByName(fresh), "components-merged")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.llm import bagminhash, words
-from offerloom.llm.components import components
+from offerloom.llm.components import components, merged
 from offerloom.llm.line_rules import join_key, moved, row_key
 from offerloom.llm.storage import materialize
 
@@ -104,7 +104,8 @@ def across_classes(members: DataFrame, similarity: float, n_registers: int, bodi
     the similarity out are passed over (none are if ``deviations`` is None), and so
     are those that share an earlier band, in whose bucket they meet too. Without
     ``bodies`` the most alike of the others come first, and those become rows that
-    join two classes not yet joined in the task: guesses, fewer than there are texts.
+    join two classes not yet joined in the task: guesses, fewer than there are texts,
+    and of all tasks one a pair of classes, the most alike.
 
     With ``bodies`` every pair that is left is decided by its bags, and what doesn't
     come out links no two classes. A pair of tiles hands its candidates on as one row
@@ -123,7 +124,7 @@ def across_classes(members: DataFrame, similarity: float, n_registers: int, bodi
     exact = bodies is not None
 
     def candidates(x) -> tuple[np.ndarray, ...]:
-        """Nodes and labels of both tiles, and the pairs to look at as positions in them, the most alike first."""
+        """Nodes and labels of both tiles, and the pairs to look at as (equal registers, positions in them), the most alike first."""
         nodes, labels, bands_a, registers = _arrays(x.texts)
         nodes_b, labels_b, bands_b, registers_b = _arrays(x.others)
         some: list[np.ndarray] = []
@@ -134,21 +135,26 @@ def across_classes(members: DataFrame, similarity: float, n_registers: int, bodi
             j = j[bands_a[i][np.argmax(common, axis=1)] == x.bucket] if len(j) else j
             some.append(np.stack([equal[j], np.full(len(j), i), j], axis=1))
         ranked = np.concatenate(some)
-        return nodes, labels, nodes_b, labels_b, ranked[np.argsort(-ranked[:, 0], kind="stable")][:, 1:]
+        return nodes, labels, nodes_b, labels_b, ranked[np.argsort(-ranked[:, 0], kind="stable")]
 
     def guesses(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for x in frame.itertuples(index=False):
                 nodes, labels, nodes_b, labels_b, ranked = candidates(x)
                 parent: dict[int, int] = {}
-                out = [tuple(sorted((int(nodes[i]), int(nodes_b[j])))) for i, j in ranked if _joined(parent, int(labels[i]), int(labels_b[j]))]
-                yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                out = []
+                for equal, i, j in ranked:
+                    p, q = int(labels[i]), int(labels_b[j])
+                    if _joined(parent, p, q):
+                        out.append((int(nodes[i]), int(nodes_b[j]), min(p, q), max(p, q), int(equal)))
+                yield pd.DataFrame(out, columns=["a", "b", "p", "q", "equal"], dtype="int64")
 
     def asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for x in frame.itertuples(index=False):
                 nodes, labels, nodes_b, labels_b, ranked = candidates(x)
+                ranked = ranked[:, 1:]
                 if len(ranked):
                     i, j = np.unique(ranked[:, 0]), np.unique(ranked[:, 1])
                     at = np.stack([np.searchsorted(i, ranked[:, 0]), len(i) + np.searchsorted(j, ranked[:, 1])], axis=1)
@@ -176,7 +182,9 @@ def across_classes(members: DataFrame, similarity: float, n_registers: int, bodi
                 yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     if not exact:
-        return both.mapInPandas(guesses, "a long, b long").distinct()
+        guessed = both.mapInPandas(guesses, "a long, b long, p long, q long, equal long")
+        best = guessed.groupBy("p", "q").agg(F.max(F.struct("equal", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).alias("x"))
+        return best.select("x.a", "x.b").distinct()
     lists = materialize(both.mapInPandas(asked, "pair string, nodes array<long>, labels array<long>, at binary"), "near-asked")
     wanted = lists.select("pair", F.explode(F.array_distinct("nodes")).alias("node")).join(bodies, "node")
     texts = wanted.groupBy("pair").agg(F.collect_list(F.struct("node", "body")).alias("texts"))
@@ -227,8 +235,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, window: int = WINDO
             more = verified(more, bodies, window, similarity).filter("linked").select("a", "b")
         more = materialize(more, "near-across")
         if not more.isEmpty():
-            found = found.unionByName(more)
-            labels = components(found)
+            labels = merged(labels, more)
 
     rows_of = materialize(keyed.select("id", "th1", "th2", "wordy"), "near-rows")
     label_of = signed.select("node", "th1", "th2").join(labels, "node", "left").select(*moved("th1", "th2"), F.coalesce("label", "node").alias("label"))

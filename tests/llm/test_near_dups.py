@@ -129,6 +129,9 @@ def test_components(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(21)}, **{i: -5 for i in (100, 101, 102, -5)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    more = spark.createDataFrame([(20, 102), (7, 3), (500, 501)], "a long, b long")
+    again = {r.node: r.label for r in components_module.merged(components(spark.createDataFrame(edges, "a long, b long")), more).collect()}
+    assert again == {**{i: -5 for i in (*range(21), 100, 101, 102, -5)}, 500: 500, 501: 500}
 
 
 def test_registered_query(spark, tmp_path):
