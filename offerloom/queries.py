@@ -150,12 +150,12 @@ def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.with_features(rows)
 
 
-@query(part_sql(rf"""
+_PAIRS = rf"""
 , f AS (
   SELECT part AS idx, 's' || (part % 5) AS site, name, category, price, {q.brand_key("brand")} AS bk, {q.core_name("name", "brand")} AS core, {q.product_line("name", "brand")} AS line,
          {q.shade_codes("name", f"({q.brand_key('brand')})")} AS sh, {q.sizes("name")} AS sz,
          {q.matches("name", r"\b(?:seyahat|travel|mini|minyat[uü]r|sample|deneme)\b")} AS tr, {q.matches("name", r"\b(?:waterproof|su\s*ge[cç]irmez)\b")} AS wp
-  FROM parts WHERE part % 5 <> 3 OR part % 10 = 3),
+  FROM parts),
 w AS (SELECT *, {q.compared("core")} AS cw, {q.tokens("core")} AS tk, list_distinct(list_filter({q.synonyms(q.tokens("core"))}, lambda w: w NOT IN ({q.GENERIC}))) AS sig FROM f),
 x AS (SELECT *, list_distinct({q.synonyms("cw")}) AS st, {q.bigrams("cw")} AS bg FROM w),
 base AS (SELECT bk, arg_min(site, idx) AS base_site FROM x GROUP BY bk HAVING count(DISTINCT site) > 1),
@@ -166,17 +166,19 @@ p AS (
          CASE WHEN len(a.tk) = 0 OR len(b.tk) = 0 THEN 0.0 ELSE greatest(
            len(list_intersect(a.st, b.st))::DOUBLE / greatest(len(a.st), len(b.st), 1),
            CASE WHEN len(a.bg) > 0 AND len(b.bg) > 0 THEN len(list_filter(a.bg, lambda v: list_contains(b.bg, v)))::DOUBLE / greatest(len(a.bg), len(b.bg)) ELSE 0.0 END) END AS sim
-  FROM x a JOIN base ON a.bk = base.bk AND a.site = base.base_site JOIN x b ON a.bk = b.bk AND b.site <> base.base_site)
-SELECT bk AS brand_key, cand_site, base_idx, cand_idx, floor(sim * 10000 + 0.5) / 10000 AS sim
-FROM p
-WHERE {q.compatible("ca", "cb")} AND (len(za) = 0 OR len(zb) = 0 OR list_has_any(za, zb)) AND ((len(za) > 0) = (len(zb) > 0) OR greatest(pa, pb) <= 2 * least(pa, pb))
+  FROM x a JOIN base ON a.bk = base.bk AND a.site = base.base_site JOIN x b ON a.bk = b.bk AND b.site <> base.base_site),
+pairs AS (
+  SELECT bk AS brand_key, cand_site, base_idx, cand_idx, sim FROM p
+  WHERE {q.compatible("ca", "cb")} AND (len(za) = 0 OR len(zb) = 0 OR list_has_any(za, zb)) AND ((len(za) > 0) = (len(zb) > 0) OR greatest(pa, pb) <= 2 * least(pa, pb))
   AND (len(ha) = 0 OR len(hb) = 0 OR list_has_any(ha, hb)) AND flags AND (NOT lines OR same_line)
   AND sim > 0 AND sim >= greatest(CASE WHEN lines AND same_line THEN 0.78 ELSE 0.85 END, CASE WHEN short THEN 0.90 ELSE 0.0 END)
-  AND (unmatched = 0 OR unmatched = 1 AND lines AND same_line) AND greatest(pa, pb) <= 3 * least(pa, pb)
-"""))
+  AND (unmatched = 0 OR unmatched = 1 AND lines AND same_line) AND greatest(pa, pb) <= 3 * least(pa, pb))
+"""
+
+
+@query(part_sql(_PAIRS + "SELECT brand_key, cand_site, base_idx, cand_idx, floor(sim * 10000 + 0.5) / 10000 AS sim FROM pairs"))
 def q06_blocked_fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pairs of the products that its SQL asks for: the fourth seller has every second of its products."""
-    return _fuzzy(_named(spark, sf_dir).filter("idx % 5 != 3 OR idx % 10 = 3")).withColumn("sim", F.floor(F.col("sim") * 10000 + 0.5) / 10000)
+    return _fuzzy(_named(spark, sf_dir)).withColumn("sim", F.floor(F.col("sim") * 10000 + 0.5) / 10000)
 
 
 def _fuzzy(named: DataFrame) -> DataFrame:
@@ -185,12 +187,26 @@ def _fuzzy(named: DataFrame) -> DataFrame:
     blocks = rows.join(first, "brand_key")
     ok, sim = matching.pair_checks()
     pairs = matching._pairs(blocks.filter("site = base_site"), blocks.filter("site != base_site")).filter(ok)
-    return pairs.select(F.col("a_brand_key").alias("brand_key"), F.col("b_site").alias("cand_site"), F.col("a_idx").alias("base_idx"), F.col("b_idx").alias("cand_idx"), sim.alias("sim"))
+    return pairs.select(F.col("a_brand_key").alias("brand_key"), F.col("b_site").alias("cand_site"), F.col("a_idx").alias("base_idx"), F.col("b_idx").alias("cand_idx"), sim.alias("sim")).distinct()
 
 
-@query()
+_WALK = """,
+steps AS (SELECT brand_key, cand_site, base_idx, row_number() OVER (PARTITION BY brand_key, cand_site ORDER BY base_idx) AS k FROM (SELECT DISTINCT brand_key, cand_site, base_idx FROM pairs)),
+walk AS (
+  SELECT DISTINCT brand_key, cand_site, 0::BIGINT AS k, []::BIGINT[] AS taken, NULL::BIGINT AS base_idx, NULL::BIGINT AS cand_idx FROM pairs
+  UNION ALL
+  SELECT w.brand_key, w.cand_site, w.k + 1, list_concat(w.taken, [arg_min(p.cand_idx, (-p.sim, p.cand_idx)) FILTER (NOT list_contains(w.taken, p.cand_idx))]), s.base_idx,
+         arg_min(p.cand_idx, (-p.sim, p.cand_idx)) FILTER (NOT list_contains(w.taken, p.cand_idx))
+  FROM walk w JOIN steps s ON s.brand_key = w.brand_key AND s.cand_site = w.cand_site AND s.k = w.k + 1
+  JOIN pairs p ON p.brand_key = s.brand_key AND p.cand_site = s.cand_site AND p.base_idx = s.base_idx
+  GROUP BY w.brand_key, w.cand_site, w.k, w.taken, s.base_idx)
+SELECT brand_key, cand_site, base_idx, cand_idx FROM walk WHERE cand_idx IS NOT NULL
+"""
+
+
+@query(part_sql(_PAIRS + _WALK).replace("WITH", "WITH RECURSIVE", 1))
 def q07_greedy_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One candidate a base and seller; the tests hold it against the walk over the bases."""
+    """One candidate a base and seller; its SQL walks over the bases one by one."""
     return matching.assigned(_fuzzy(_named(spark, sf_dir)), ["brand_key", "cand_site"], "base_idx", "cand_idx", "sim")
 
 
