@@ -412,11 +412,11 @@ def q25_image_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT o_custkey AS cust, avg(o_totalprice) / 100000.0 AS rating, count(*) * 40 AS reviews FROM orders GROUP BY o_custkey)
+WITH c AS (SELECT o_custkey AS cust, avg(o_totalprice) / 60000.0 AS rating, count(*) * 40 AS reviews FROM orders GROUP BY o_custkey)
 SELECT cust, (rating >= 4.6 AND reviews >= 100) OR (rating >= 4.4 AND reviews >= 500) OR (rating >= 4.8 AND reviews >= 30) AS trending FROM c
 """)
 def q26_trending_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cust")).agg((F.avg("o_totalprice") / 100000.0).alias("rating"), (F.count("*") * 40).alias("reviews"))
+    rows = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cust")).agg((F.avg("o_totalprice") / 60000.0).alias("rating"), (F.count("*") * 40).alias("reviews"))
     return rows.select("cust", masters.trending(F.col("rating"), F.col("reviews")).alias("trending"))
 
 

@@ -54,6 +54,18 @@ def page_barcode(html: Column) -> Column:
     )
 
 
+def page_brand(html: Column, element: Column | None = None) -> Column:
+    """The brand of linked data, a text or an object with a name; else the meta tag's, else ``element``."""
+    found = lambda rule: F.nullif(text.strip(F.regexp_extract(text.text(html), rule, 1)), F.lit(""))
+    return F.coalesce(
+        found('"brand"\\s*:\\s*"([^"]+)"'),
+        found('"brand"\\s*:\\s*\\{[^{}]*"name"\\s*:\\s*"([^"]+)"'),
+        found('(?i)<meta[^>]*(?:itemprop|property)="[^"]*brand[^"]*"[^>]*content="([^"]+)"'),
+        F.lit(None).cast("string") if element is None else F.nullif(text.strip(element), F.lit("")),
+        F.lit(""),
+    )
+
+
 def detail_flags(body: Column) -> tuple[Column, Column, Column]:
     """(desc, vegan, crueltyFree) of a product's text."""
     lowered = F.lower(text.text(body))
