@@ -1,6 +1,7 @@
+import duckdb
 import pytest
 
-from offerloom import queries
+from offerloom import queries, sample_queries
 
 
 @pytest.fixture
@@ -30,3 +31,19 @@ def test_greedy_assignment_of_all_products(spark, parts):
 def test_tiers_of_all_products(spark, parts):
     """Prices are alike and no barcode occurs twice, so each product has its price somewhere."""
     assert sum(r.n_prices for r in queries.q08_leftover_union_tiers(spark, parts).collect()) == 300
+
+
+ON_PARTS = sorted(n for n in queries.QUERIES if getattr(sample_queries, n, None) and "FROM part" in queries.ORACLE_SQL[n])
+
+
+@pytest.mark.parametrize("name", ON_PARTS)
+def test_cases_written_by_hand(spark, parts, name):
+    """All cases occur among 300 parts, and each gives what is written beside it."""
+    found = queries.QUERIES[name](spark, parts)
+    columns = sorted(found.columns)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW part AS SELECT * FROM '{parts}/part.parquet/*.parquet'")
+    expected = con.sql(queries.ORACLE_SQL[name])
+    assert sorted(expected.columns) == columns
+    rows = lambda found: sorted(found, key=repr)
+    assert rows(tuple(r) for r in found.select(columns).collect()) == rows(expected.project(", ".join(f'"{c}"' for c in columns)).fetchall())
