@@ -200,19 +200,48 @@ walk AS (
   FROM walk w JOIN steps s ON s.brand_key = w.brand_key AND s.cand_site = w.cand_site AND s.k = w.k + 1
   JOIN pairs p ON p.brand_key = s.brand_key AND p.cand_site = s.cand_site AND p.base_idx = s.base_idx
   GROUP BY w.brand_key, w.cand_site, w.k, w.taken, s.base_idx)
-SELECT brand_key, cand_site, base_idx, cand_idx FROM walk WHERE cand_idx IS NOT NULL
 """
 
 
-@query(part_sql(_PAIRS + _WALK).replace("WITH", "WITH RECURSIVE", 1))
+@query(part_sql(_PAIRS + _WALK + "SELECT brand_key, cand_site, base_idx, cand_idx FROM walk WHERE cand_idx IS NOT NULL").replace("WITH", "WITH RECURSIVE", 1))
 def q07_greedy_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate a base and seller; its SQL walks over the bases one by one."""
     return matching.assigned(_fuzzy(_named(spark, sf_dir)), ["brand_key", "cand_site"], "base_idx", "cand_idx", "sim")
 
 
-@query()
+_TIERS = rf"""
+, coded AS (
+  SELECT part AS idx, 's' || (part % 5) AS site, price, category, {q.brand_key("brand")} AS bk, array_to_string({q.sizes("name")}, ',') AS sz, {q.word_set("name")} AS ws, {q.shade_codes("name", "brand")} AS sh,
+         (8690000000000 + CASE WHEN part % 22 = 0 THEN part % 264 ELSE 300 + part % 21 END)::VARCHAR AS barcode
+  FROM parts WHERE part % 11 = 0),
+first AS (SELECT barcode, site, min(idx) AS site_idx, arg_min(idx, (price, idx)) AS idx FROM coded GROUP BY barcode, site),
+s AS (SELECT coded.*, site_idx FROM first JOIN coded USING (barcode, idx)),
+bad AS (
+  SELECT DISTINCT a.barcode FROM s a JOIN s b ON a.barcode = b.barcode
+  WHERE NOT (a.bk = b.bk AND (a.sz = '' OR b.sz = '' OR a.sz = b.sz) AND greatest(len(a.ws), len(b.ws)) > 0
+    AND len(list_intersect(a.ws, b.ws)) >= 0.25 * greatest(len(a.ws), len(b.ws)) AND {q.compatible("a.category", "b.category")}
+    AND (len(a.sh) = 0 OR len(b.sh) = 0 OR list_has_any(a.sh, b.sh)))),
+used AS (SELECT barcode, idx, price FROM s WHERE barcode NOT IN (SELECT barcode FROM bad) AND barcode IN (SELECT barcode FROM s GROUP BY barcode HAVING count(*) > 1))
+{_PAIRS.replace("FROM parts)", "FROM parts WHERE part NOT IN (SELECT idx FROM used))")}{_WALK.rstrip()},
+chosen AS (SELECT base_idx, cand_idx FROM walk WHERE cand_idx IS NOT NULL),
+bases AS (SELECT x.idx, x.price FROM x JOIN base ON x.bk = base.bk AND x.site = base.base_site),
+entries AS (
+  SELECT 0 AS tier, barcode AS product, price FROM used
+  UNION ALL SELECT 1, idx::VARCHAR, price FROM bases
+  UNION ALL SELECT 1, base_idx::VARCHAR, x.price FROM chosen JOIN x ON x.idx = cand_idx
+  UNION ALL SELECT 2, idx::VARCHAR, price FROM x WHERE idx NOT IN (SELECT idx FROM bases) AND idx NOT IN (SELECT cand_idx FROM chosen)),
+products AS (
+  SELECT tier, product, count(*) FILTER (price <= 3 * least) AS n
+  FROM (SELECT *, min(price) OVER (PARTITION BY tier, product) AS least FROM entries) GROUP BY tier, product)
+SELECT tier, CASE WHEN tier = 0 THEN 'barcode' WHEN n > 1 THEN 'name' ELSE 'single' END AS match_method, count(*) AS n_products, sum(n)::BIGINT AS n_prices FROM products GROUP BY ALL
+"""
+
+
+@query(part_sql(_TIERS).replace("WITH", "WITH RECURSIVE", 1))
 def q08_leftover_union_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = matching.materialize(_named(spark, sf_dir).withColumn("barcode", F.when(F.col("idx") % 11 == 0, F.lpad((F.col("idx") % 500 + 8690000000000).cast("string"), 13, "8")).otherwise("")), "tiers")
+    """Products and prices by tier; of the barcodes some hold one product of several sellers, others products that don't agree."""
+    code = F.when(F.col("idx") % 22 == 0, F.col("idx") % 264).when(F.col("idx") % 11 == 0, F.col("idx") % 21 + 300)
+    rows = matching.materialize(_named(spark, sf_dir).withColumn("barcode", F.coalesce((code + 8690000000000).cast("string"), F.lit(""))), "tiers")
     return matching.matched(rows).groupBy("tier", "match_method").agg(F.count("*").alias("n_products"), F.sum(F.size("prices")).alias("n_prices"))
 
 
@@ -547,8 +576,35 @@ def q39_integrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.select("id", "brand", "name", "category", F.size("variants").alias("n_variants"), "priceCount", F.col("prices")[0]["price"].alias("first_price"), "imageUrl", F.size("dupeFor").alias("n_dupe_for"))
 
 
-@query()
+_BRAND_FOUND = q.first_contained("lower(name)", ((b.lower(), b) for b in sorted(d.KNOWN_BRANDS, key=len, reverse=True)), "''")
+_QF_OFFERS = _QF.replace("SELECT part, CASE", "SELECT *, CASE", 1).replace("part * 30 > 50000", "reviews > 50000")
+
+
+@query(f"""
+WITH {LINE_OFFERS},
+landed AS (
+  SELECT {sql_pick(d.SELLERS, "site")} AS seller, {sql_pick(NAMES, "part")} || CASE WHEN part % 3 = 0 THEN ' ' || lpad((part % 40)::VARCHAR, 2, '0') ELSE '' END AS raw, {sql_pick(BRANDS, "part")} AS given,
+         {sql_pick(CATEGORIES, "part")} AS category, floor(price) / 4 AS price, idx % 900 AS reviews
+  FROM offers JOIN part ON p_partkey = part),
+starred AS (SELECT *, trim(ltrim(raw, '*')) AS name FROM landed),
+found AS (SELECT *, CASE WHEN trim(given) = '' THEN {_BRAND_FOUND} ELSE '' END AS hit FROM starred),
+cut AS (
+  SELECT seller, raw, given, category, price, reviews, hit,
+         CASE WHEN hit = '' THEN name ELSE trim(regexp_replace(trim(name[:strpos(lower(name), lower(hit)) - 1] || name[strpos(lower(name), lower(hit)) + length(hit):]), '^[-–, ]+', '')) END AS name
+  FROM found),
+branded AS (SELECT * EXCLUDE (given), CASE WHEN trim(given) <> '' THEN given WHEN hit <> '' THEN hit ELSE {q.first_contained("lower(name)", d.LINE_TO_BRAND.items(), "''")} END AS b FROM cut),
+parts AS (
+  SELECT seller, name, price, reviews, CASE WHEN trim(b) = '' THEN '' ELSE {q.lookup("(" + q.brand_key("b") + ")", d.BRAND_DISPLAY, "b")} END AS brand,
+         {q.first_contained("lower(raw)", ((k, c) for c, keys in d.CATEGORY_RULES for k in keys), "category")} AS category
+  FROM branded),
+judged AS ({_QF_OFFERS}),
+variants AS (
+  SELECT count(*) AS n FROM judged WHERE reject_reason IS NULL
+  GROUP BY seller, {q.brand_key("brand")}, category, {q.core_name("name", "brand")}, {q.variant_shade("name")}, array_to_string({q.sizes("name")}, '-'))
+SELECT count(*) AS total_groups, sum(n)::BIGINT AS total_products, sum(n - 1)::BIGINT AS merged_away FROM variants
+""")
 def q40_variant_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the sellers' offers in normal form after the quality rules, and the variants that they make."""
     return matching.variant_statistics(variants_of_sellers(clean_offers(seller_offers(spark, sf_dir))))
 
 
