@@ -209,19 +209,20 @@ def q07_greedy_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.assigned(_fuzzy(_named(spark, sf_dir)), ["brand_key", "cand_site"], "base_idx", "cand_idx", "sim")
 
 
-_TIERS = rf"""
-, coded AS (
-  SELECT part AS idx, 's' || (part % 5) AS site, price, category, {q.brand_key("brand")} AS bk, array_to_string({q.sizes("name")}, ',') AS sz, {q.word_set("name")} AS ws, {q.shade_codes("name", "brand")} AS sh,
-         (8690000000000 + CASE WHEN part % 22 = 0 THEN part % 264 ELSE 300 + part % 21 END)::VARCHAR AS barcode
-  FROM parts WHERE part % 11 = 0),
-first AS (SELECT barcode, site, min(idx) AS site_idx, arg_min(idx, (price, idx)) AS idx FROM coded GROUP BY barcode, site),
+_USED = f"""first AS (SELECT barcode, site, min(idx) AS site_idx, arg_min(idx, (price, idx)) AS idx FROM coded GROUP BY barcode, site),
 s AS (SELECT coded.*, site_idx FROM first JOIN coded USING (barcode, idx)),
 bad AS (
   SELECT DISTINCT a.barcode FROM s a JOIN s b ON a.barcode = b.barcode
   WHERE NOT (a.bk = b.bk AND (a.sz = '' OR b.sz = '' OR a.sz = b.sz) AND greatest(len(a.ws), len(b.ws)) > 0
     AND len(list_intersect(a.ws, b.ws)) >= 0.25 * greatest(len(a.ws), len(b.ws)) AND {q.compatible("a.category", "b.category")}
     AND (len(a.sh) = 0 OR len(b.sh) = 0 OR list_has_any(a.sh, b.sh)))),
-used AS (SELECT barcode, idx, price FROM s WHERE barcode NOT IN (SELECT barcode FROM bad) AND barcode IN (SELECT barcode FROM s GROUP BY barcode HAVING count(*) > 1))
+used AS (SELECT * FROM s WHERE barcode NOT IN (SELECT barcode FROM bad) AND barcode IN (SELECT barcode FROM s GROUP BY barcode HAVING count(*) > 1))"""
+_TIERS = rf"""
+, coded AS (
+  SELECT part AS idx, 's' || (part % 5) AS site, price, category, {q.brand_key("brand")} AS bk, array_to_string({q.sizes("name")}, ',') AS sz, {q.word_set("name")} AS ws, {q.shade_codes("name", "brand")} AS sh,
+         (8690000000000 + CASE WHEN part % 22 = 0 THEN part % 264 ELSE 300 + part % 21 END)::VARCHAR AS barcode
+  FROM parts WHERE part % 11 = 0),
+{_USED}
 {_PAIRS.replace("FROM parts)", "FROM parts WHERE part NOT IN (SELECT idx FROM used))")}{_WALK.rstrip()},
 chosen AS (SELECT base_idx, cand_idx FROM walk WHERE cand_idx IS NOT NULL),
 bases AS (SELECT x.idx, x.price FROM x JOIN base ON x.bk = base.bk AND x.site = base.base_site),
@@ -568,39 +569,85 @@ def q38_brand_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("part", "brand", text.name_without(F.col("name"), F.col("brand")).alias("rest"), text.brand_of_line(F.col("name")).alias("line_brand"))
 
 
-@query()
-def q39_integrate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the sellers' offers; ratings that are unknown are drawn by a hash, so reruns agree."""
-    rules = spark.createDataFrame(d.SUBSTITUTES, "high_brand string, high_part string, dupe_brand string, dupe_part string")
-    products = integrate(seller_offers(spark, sf_dir), rules=rules)
-    return products.select("id", "brand", "name", "category", F.size("variants").alias("n_variants"), "priceCount", F.col("prices")[0]["price"].alias("first_price"), "imageUrl", F.size("dupeFor").alias("n_dupe_for"))
-
-
 _BRAND_FOUND = q.first_contained("lower(name)", ((b.lower(), b) for b in sorted(d.KNOWN_BRANDS, key=len, reverse=True)), "''")
 _QF_OFFERS = _QF.replace("SELECT part, CASE", "SELECT *, CASE", 1).replace("part * 30 > 50000", "reviews > 50000")
 
 
-@query(f"""
-WITH {LINE_OFFERS},
+_CLEAN = f"""{LINE_OFFERS},
 landed AS (
-  SELECT {sql_pick(d.SELLERS, "site")} AS seller, {sql_pick(NAMES, "part")} || CASE WHEN part % 3 = 0 THEN ' ' || lpad((part % 40)::VARCHAR, 2, '0') ELSE '' END AS raw, {sql_pick(BRANDS, "part")} AS given,
-         {sql_pick(CATEGORIES, "part")} AS category, floor(price) / 4 AS price, idx % 900 AS reviews
+  SELECT {sql_pick(d.SELLERS, "site")} AS site, idx AS line, ((site % {len(d.SELLERS)})::BIGINT << 52) + idx AS idx, {sql_pick(NAMES, "part")} || CASE WHEN part % 3 = 0 THEN ' ' || lpad((part % 40)::VARCHAR, 2, '0') ELSE '' END AS raw,
+         {sql_pick(BRANDS, "part")} AS given, {sql_pick(CATEGORIES, "part")} AS landed_category, floor(price) / 4 AS price, idx % 900 AS reviews, CASE WHEN part % 5 = 0 THEN (8680000000000 + part)::VARCHAR ELSE '' END AS barcode
   FROM offers JOIN part ON p_partkey = part),
 starred AS (SELECT *, trim(ltrim(raw, '*')) AS name FROM landed),
 found AS (SELECT *, CASE WHEN trim(given) = '' THEN {_BRAND_FOUND} ELSE '' END AS hit FROM starred),
 cut AS (
-  SELECT seller, raw, given, category, price, reviews, hit,
-         CASE WHEN hit = '' THEN name ELSE trim(regexp_replace(trim(name[:strpos(lower(name), lower(hit)) - 1] || name[strpos(lower(name), lower(hit)) + length(hit):]), '^[-–, ]+', '')) END AS name
+  SELECT * REPLACE (CASE WHEN hit = '' THEN name ELSE trim(regexp_replace(trim(name[:strpos(lower(name), lower(hit)) - 1] || name[strpos(lower(name), lower(hit)) + length(hit):]), '^[-–, ]+', '')) END AS name)
   FROM found),
-branded AS (SELECT * EXCLUDE (given), CASE WHEN trim(given) <> '' THEN given WHEN hit <> '' THEN hit ELSE {q.first_contained("lower(name)", d.LINE_TO_BRAND.items(), "''")} END AS b FROM cut),
+branded AS (SELECT *, CASE WHEN trim(given) <> '' THEN given WHEN hit <> '' THEN hit ELSE {q.first_contained("lower(name)", d.LINE_TO_BRAND.items(), "''")} END AS b FROM cut),
 parts AS (
-  SELECT seller, name, price, reviews, CASE WHEN trim(b) = '' THEN '' ELSE {q.lookup("(" + q.brand_key("b") + ")", d.BRAND_DISPLAY, "b")} END AS brand,
-         {q.first_contained("lower(raw)", ((k, c) for c, keys in d.CATEGORY_RULES for k in keys), "category")} AS category
+  SELECT site, line, idx, name, price, reviews, barcode, CASE WHEN trim(b) = '' THEN '' ELSE {q.lookup("(" + q.brand_key("b") + ")", d.BRAND_DISPLAY, "b")} END AS brand,
+         {q.first_contained("lower(raw)", ((k, c) for c, keys in d.CATEGORY_RULES for k in keys), "landed_category")} AS category
   FROM branded),
 judged AS ({_QF_OFFERS}),
+keyed AS (
+  SELECT *, {q.brand_key("brand")} AS bk, {q.core_name("name", "brand")} AS core, {q.variant_shade("name")} AS shade, array_to_string({q.sizes("name")}, '-') AS size FROM judged WHERE reject_reason IS NULL)"""
+
+
+_GROUP_PAIRS = _PAIRS.replace("part AS idx, 's' || (part % 5) AS site", "idx, site").replace("FROM parts)", "FROM groups WHERE idx NOT IN (SELECT idx FROM used))")
+_IMAGES = ", ".join(f"CASE WHEN b.site = '{s}' THEN b.image END, list_filter(prices, lambda p: p.site = '{s}')[1].image" for s in d.IMAGE_SELLERS)
+
+
+@query(f"""
+WITH RECURSIVE {_CLEAN},
+cheapest AS (SELECT site, category, min(idx) AS idx, arg_min({{'name': name, 'brand': brand, 'price': price, 'line': line, 'barcode': barcode}}, (price, idx)) AS r FROM keyed GROUP BY site, bk, category, core, shade, size),
+groups AS (SELECT site, category, idx, r.name AS name, r.brand AS brand, r.price AS price, 'http://img/' || r.line AS image, r.barcode AS barcode FROM cheapest),
+coded AS (
+  SELECT idx, site, price, image, category, barcode, {q.brand_key("brand")} AS bk, array_to_string({q.sizes("name")}, ',') AS sz, {q.word_set("name")} AS ws, {q.shade_codes("name", "brand")} AS sh FROM groups WHERE barcode <> ''),
+{_USED}
+{_GROUP_PAIRS}{_WALK.rstrip()},
+chosen AS (SELECT base_idx, cand_idx FROM walk WHERE cand_idx IS NOT NULL),
+bases AS (SELECT x.idx, (SELECT min(y.idx) FROM x y WHERE y.bk = x.bk) AS tier_key FROM x JOIN base ON x.bk = base.bk AND x.site = base.base_site),
+entries AS (
+  SELECT 0 AS tier, first_value(idx) OVER w AS tier_key, first_value(idx) OVER w AS base_idx, idx, site_idx AS ord FROM used WINDOW w AS (PARTITION BY barcode ORDER BY site_idx)
+  UNION ALL SELECT 1, tier_key, idx, idx, -1 FROM bases
+  UNION ALL SELECT 1, tier_key, base_idx, cand_idx, cand_idx FROM chosen JOIN bases ON bases.idx = base_idx
+  UNION ALL SELECT 2, idx, idx, idx, -1 FROM x WHERE idx NOT IN (SELECT idx FROM bases) AND idx NOT IN (SELECT cand_idx FROM chosen)),
+priced AS (SELECT e.*, g.site, g.price, g.image, min(g.price) OVER (PARTITION BY tier, base_idx) AS least FROM entries e JOIN groups g USING (idx)),
+matched AS (SELECT tier, tier_key, base_idx AS idx, list({{'site': site, 'price': price, 'image': image}} ORDER BY price, ord) AS prices FROM priced WHERE price <= 3 * least GROUP BY ALL),
 variants AS (
-  SELECT count(*) AS n FROM judged WHERE reject_reason IS NULL
-  GROUP BY seller, {q.brand_key("brand")}, category, {q.core_name("name", "brand")}, {q.variant_shade("name")}, array_to_string({q.sizes("name")}, '-'))
+  SELECT m.*, g.name, g.brand, g.category, g.site, g.image, {q.brand_key("g.brand")} AS bk, {q.core_name("g.name", "g.brand")} AS core, coalesce(nullif({q.variant_shade("g.name")}, ''), 'Standart') AS shade, array_to_string({q.sizes("g.name")}, '-') AS size
+  FROM matched m JOIN groups g USING (idx)),
+plain AS (SELECT bk, category, core, arg_min({{'idx': idx, 'prices': prices}}, (tier, tier_key, idx)) AS std FROM variants WHERE shade = 'Standart' AND size = '' GROUP BY bk, category, core),
+shared AS (
+  SELECT v.*, CASE WHEN std IS NULL OR std.idx = v.idx THEN prices ELSE list_concat(prices, list_filter(std.prices, lambda p: NOT list_contains(list_transform(v.prices, lambda z: z.site), p.site))) END AS all_prices
+  FROM variants v LEFT JOIN plain USING (bk, category, core)),
+masters AS (
+  SELECT category, arg_min({{'tier': tier, 'tier_key': tier_key, 'idx': idx, 'name': name, 'brand': brand, 'site': site, 'image': image}}, (tier, tier_key, idx)) AS b,
+         count(*)::INT AS n_variants, arg_min(all_prices, (all_prices[1].price, tier, tier_key, idx)) AS prices
+  FROM shared GROUP BY bk, category, core),
+shown AS (
+  SELECT *, b.brand AS own, trim(b.brand) AS given FROM masters),
+products AS (
+  SELECT row_number() OVER (ORDER BY b.tier, b.tier_key, b.idx) AS id, CASE WHEN given = '' THEN own ELSE {q.lookup("(" + q.brand_key("own") + ")", d.BRAND_DISPLAY, "own")} END AS brand,
+         trim(left(trim(CASE WHEN own = '' THEN {q.erase("b.name", chr(92) + "s+", " ")} ELSE regexp_replace({q.erase("b.name", chr(92) + "s+", " ")}, '(?i)' || regexp_escape(own), '', 'g') END), 80)) AS name,
+         category, n_variants, len(prices)::INT AS "priceCount", prices[1].price AS first_price, coalesce({_IMAGES}, b.image) AS "imageUrl"
+  FROM shown),
+rules(high_brand, high_part, dupe_brand, dupe_part) AS (VALUES {", ".join("(" + ", ".join(map(q.lit, r)) + ")" for r in d.SUBSTITUTES)}),
+links AS (
+  SELECT h.id, count(DISTINCT l.id)::INT AS n FROM products h JOIN rules ON upper(h.brand) = high_brand AND contains(lower(h.name), high_part)
+  JOIN products l ON upper(l.brand) = dupe_brand AND contains(lower(l.name), dupe_part) GROUP BY h.id)
+SELECT products.*, coalesce(n, 0) AS n_dupe_for FROM products LEFT JOIN links USING (id)
+""")
+def q39_integrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the sellers' offers; ratings that are unknown are drawn by a hash, so reruns agree."""
+    rules = spark.createDataFrame(d.SUBSTITUTES, "high_brand string, high_part string, dupe_brand string, dupe_part string")
+    products = integrate(seller_offers(spark, sf_dir), rules=rules)
+    return products.select("id", "brand", "name", "category", F.size("variants").alias("n_variants"), "priceCount", F.col("prices")[0]["price"].alias("first_price"), "imageUrl", F.size("dupeFor").alias("n_dupe_for"))
+
+
+@query(f"""
+WITH {_CLEAN},
+variants AS (SELECT count(*) AS n FROM keyed GROUP BY site, bk, category, core, shade, size)
 SELECT count(*) AS total_groups, sum(n)::BIGINT AS total_products, sum(n - 1)::BIGINT AS merged_away FROM variants
 """)
 def q40_variant_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:

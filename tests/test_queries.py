@@ -29,8 +29,14 @@ def test_greedy_assignment_of_all_products(spark, parts):
 
 
 def test_tiers_of_all_products(spark, parts):
-    """Prices are alike and no barcode occurs twice, so each product has its price somewhere."""
-    assert sum(r.n_prices for r in queries.q08_leftover_union_tiers(spark, parts).collect()) == 300
+    """Prices are alike and no seller has a barcode twice, so each product has its price somewhere."""
+    found = queries.q08_leftover_union_tiers(spark, parts).collect()
+    assert sum(r.n_prices for r in found) == 300
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW part AS SELECT * FROM '{parts}/part.parquet/*.parquet'")
+    expected = con.sql(queries.ORACLE_SQL["q08_leftover_union_tiers"]).fetchall()
+    assert sorted((r.tier, r.match_method, r.n_products, r.n_prices) for r in found) == sorted(expected)
+    assert {r.tier for r in found} == {0, 1, 2}
 
 
 ON_PARTS = sorted(n for n in queries.QUERIES if getattr(sample_queries, n, None) and "FROM part" in queries.ORACLE_SQL[n])
