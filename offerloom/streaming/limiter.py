@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ def counted(events: DataFrame, key: str, ts: str, seconds: int, limit: int, orde
     """Adds ``count`` (the event's number in its window) and ``limited``.
 
     A key's events are folded in order of time within a task, in one pass over
-    batches sorted by key and time: a key of any size takes one row of state.
+    batches sorted by key and time: a key of any size takes one row of state, and
+    a step is a window, not an event. Events without a time come first and are
+    one window with all others of their key; a null key is a key.
     """
     tie = order or ts
     schema = T.StructType(list(events.schema.fields)).add("count", "long").add("limited", "boolean")
@@ -27,16 +30,23 @@ def counted(events: DataFrame, key: str, ts: str, seconds: int, limit: int, orde
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, start, n = None, None, 0
-        width = pd.Timedelta(seconds=seconds)
+        width = np.timedelta64(seconds, "s")
         for frame in frames:
-            numbers = []
-            for k, t in zip(frame[key], frame[ts]):
-                k = None if pd.isna(k) else k
-                if start is None or k != current or t > start + width:
-                    current, start, n = k, t, 0
-                n += 1
-                numbers.append(n)
-            yield frame[names].assign(count=numbers, limited=[x > limit for x in numbers])
+            keys, times = frame[key], frame[ts].to_numpy()
+            before = keys.shift()
+            others = np.flatnonzero((keys.ne(before) & ~(keys.isna() & before.isna())).to_numpy()[1:]) + 1
+            numbers, at = np.empty(len(frame), "int64"), 0
+            for end in [*others, len(frame)] if len(frame) else []:
+                k = None if pd.isna(keys.iat[at]) else keys.iat[at]
+                if k != current:
+                    current, start = k, None
+                while at < end:
+                    if start is None or times[at] > start + width:
+                        start, n = times[at], 0
+                    stop = at + int(np.searchsorted(times[at:end], start + width, side="right"))
+                    numbers[at:stop] = np.arange(n + 1, n + 1 + stop - at)
+                    n, at = n + stop - at, stop
+            yield frame[names].assign(count=numbers, limited=numbers > limit)
 
     return events.repartition(key).sortWithinPartitions(key, ts, tie).mapInPandas(fold, schema)
 

@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import random
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -80,6 +82,25 @@ def test_limiter_windows(spark):
     assert [r.limited for r in limiter.counted(events(spark, range(6)), "key", "ts", 60, 5, "i").orderBy("i").collect()] == [False] * 5 + [True]
 
 
+def test_limiter_equals_walk_over_events(spark):
+    """Windows and keys that go on in the next batch, a null key, ties and an empty table."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(300)), i) for i in range(200)]
+    expected, state = {}, {}
+    for k, t, i in sorted(rows, key=lambda r: r[1:]):
+        start, n = state.get(k, (t, 0))
+        start, n = (t, 0) if t > start + timedelta(seconds=20) else (start, n)
+        state[k], expected[i] = (start, n + 1), (n + 1, n + 1 > 4)
+    table = spark.createDataFrame(rows, "key string, ts timestamp, i long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = {r.i: (r["count"], r.limited) for r in limiter.counted(table, "key", "ts", 20, 4, "i").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == expected
+    assert limiter.counted(table.filter("i < 0"), "key", "ts", 20, 4, "i").count() == 0
+
+
 def test_limiter_stream_equals_batch(spark, tmp_path):
     rows = events(spark, [0, 10, 60, 61, 121, 122]).unionByName(events(spark, [5, 6, 400], "j"))
     rows.select("key", "ts").write.parquet(f"{tmp_path}/in")
