@@ -94,7 +94,7 @@ class _Window:
     """Forward reads of a file from any offset, a chunk at a time."""
 
     def __init__(self, file, size: int, at: int):
-        self.file, self.size, self.base, self.skip, self.data = file, size, at, 0, b""
+        self.file, self.size, self.base, self.skip, self.data = file, size, at, 0, bytearray()
 
     @property
     def at(self) -> int:
@@ -104,7 +104,7 @@ class _Window:
         if self.base <= to <= self.base + len(self.data):
             self.skip = to - self.base
         else:
-            self.base, self.skip, self.data = to, 0, b""
+            self.base, self.skip, self.data = to, 0, bytearray()
 
     def more(self) -> bool:
         end = self.base + len(self.data)
@@ -112,7 +112,10 @@ class _Window:
             return False
         self.file.seek(end)
         got = self.file.read(min(CHUNK, self.size - end))
-        self.base, self.data, self.skip = self.at, self.data[self.skip :] + got, 0
+        self.base = self.at
+        del self.data[: self.skip]  # cutting and appending in place, so a long record isn't copied for each piece read
+        self.data += got
+        self.skip = 0
         return bool(got)
 
 
@@ -209,12 +212,13 @@ class Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.path, self.level = _uri(options["path"]), int(options.get("level", 3))
+        self.job = uuid.uuid4().hex  # names the write's files, as others may write into the folder at the same time
         self.date = options.get("date") or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(self, iterator):
         store, root = _open(self.path)
         store.create_dir(root, recursive=True)
-        name = f"{root}/{uuid.uuid4().hex}.warc.gz"
+        name = f"{root}/{self.job}-{uuid.uuid4().hex}.warc.gz"
         with store.open_output_stream(f"{name}.part") as out:
             for batch in iterator:
                 for i in range(batch.num_rows):
@@ -222,21 +226,23 @@ class WarcWriter(DataSourceArrowWriter):
         return Written(name)
 
     def commit(self, messages):
-        from pyarrow import fs
-
-        store, root = _open(self.path)
+        store, _ = _open(self.path)
         for m in messages:
             if m is not None:
                 store.move(f"{m.path}.part", m.path)
-        for x in store.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-            if x.path.endswith(".part"):
-                store.delete_file(x.path)
+        self._drop_parts()
 
     def abort(self, messages):
-        store, _ = _open(self.path)
-        for m in messages:
-            if m is not None:
-                store.delete_file(f"{m.path}.part")
+        self._drop_parts()
+
+    def _drop_parts(self):
+        """Deletes what attempts of this write left unfinished."""
+        from pyarrow import fs
+
+        store, root = _open(self.path)
+        for x in store.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if x.base_name.startswith(f"{self.job}-") and x.base_name.endswith(".part"):
+                store.delete_file(x.path)
 
 
 class WarcDataSource(DataSource):

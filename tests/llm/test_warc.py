@@ -1,6 +1,7 @@
 import io
 import random
 import zlib
+from pathlib import Path
 
 import pytest
 
@@ -53,6 +54,23 @@ def test_empty_table(spark):
     assert round_trip(spark, []) == []
 
 
+def test_parts_of_other_writers_stay(spark):
+    path = work_path(spark, "warc-test")
+    Path(path).mkdir(parents=True)
+    Path(path, "other.warc.gz.part").write_bytes(b"unfinished")
+    pages = spark.createDataFrame([(1, "u", "x" * 200)], "page_id long, url string, html string")
+    warc.write_warc(warc.page_records(pages), path)
+    assert sorted(x.name for x in Path(path).iterdir() if x.suffix == ".part") == ["other.warc.gz.part"]
+    assert warc.read_warc(spark, path).count() == 1
+
+
+def test_long_record_over_many_pieces(monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 1000)
+    long = random.Random(4).randbytes(200_000)
+    data = member(0, b"a") + member(1, long) + member(2, b"c")
+    assert [f["payload"] for _, f in warc.records_in_range(io.BytesIO(data), len(data), 0, len(data))] == [b"a", long, b"c"]
+
+
 def warc_id(urn):
     number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
     return int(number) if number else None
