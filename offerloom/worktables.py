@@ -31,4 +31,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes work tables of ``materialize`` that nothing reads any more; other frames are left alone."""
+    for table in tables:
+        path = getattr(table, "_work_path", None)
+        if path:
+            context = table.sparkSession.sparkContext
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
