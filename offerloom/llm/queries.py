@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom.llm import bpe, html_text, line_dedup, mixing, near_dups, quality, substrings, topk, urls, warc
+from offerloom.llm import bpe, fim, html_text, line_dedup, mixing, near_dups, quality, set_join, substrings, topk, urls, vector_codes, warc
 from offerloom.llm.storage import bounded_batches, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,6 +212,74 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_repeated", "n_marked")
 
 
+def op11_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a document, with the smallest doc_id that links of similar sets reach."""
+    bounded_batches(spark)
+    found = set_join.join_classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a vector, with its code and errors, and the digest of the codebooks."""
+    bounded_batches(spark)
+    found = vector_codes.train(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(found.rows)
+    return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(found.sha256).alias("codebooks_sha256"))
+
+
+def _op12_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """A table of parts, of codebooks and of assignments a round; components are equal in number and divisible in these tables."""
+    floor_of = "(s - (((s % n) + n) % n)) // n"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS (SELECT x.rid, x.p, min(list_sum(list_transform(list_zip(x.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * {entries} + c.e) AS best FROM x JOIN c{i} c ON c.p = x.p GROUP BY x.rid, x.p)")
+        if i < rounds:
+            steps.append(f"s{i} AS (SELECT p, e, j, sum(y)::BIGINT AS s, count(*) AS n FROM (SELECT x.p, best % {entries} AS e, unnest(x.x) AS y, generate_subscripts(x.x, 1) AS j FROM x JOIN a{i} USING (rid, p)) GROUP BY p, e, j)")
+            steps.append(f"m{i} AS (SELECT p, e, list(({floor_of})::BIGINT ORDER BY j) AS x FROM s{i} GROUP BY p, e)")
+            steps.append(f"c{i + 1} AS (SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.p = c.p AND m.e = c.e)")
+    return f"""
+WITH v AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS rid, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT rid, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM v, range({parts}) r(p)),
+c0 AS (SELECT p, rid - 1 AS e, x FROM x WHERE rid <= {entries}),
+{", ".join(steps)},
+b AS (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM (SELECT p, e, unnest(x) AS y, generate_subscripts(x, 1) AS j FROM c{rounds})),
+f AS (SELECT rid, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM f JOIN v USING (rid), b
+"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rearranges every whole text and rebuilds it; the digests are made from both."""
+    bounded_batches(spark)
+    both = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
+    return both.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+g AS (SELECT doc_id, text, length(text)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM g),
+p AS (SELECT *, substring(text, 1, low) AS a, substring(text, low + 1, high - low) AS b, substring(text, high + 1) AS c FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars, CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_substring_dedup": op2_substring_dedup,
@@ -223,6 +291,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
+    "op11_set_join": op11_set_join,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -232,4 +303,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_topk": OP5_SQL,
     "op8_mixing": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op12_vector_codes": _op12_sql(),
+    "op13_fill_in_middle": OP13_SQL,
 }

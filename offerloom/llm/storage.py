@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from offerloom.worktables import materialize, shared_dir, work_path
+from offerloom.worktables import materialize, release, shared_dir, work_path
 
-__all__ = ["bounded_batches", "materialize", "shared_dir", "work_path"]
+__all__ = ["bounded_batches", "materialize", "release", "shared_dir", "work_path"]
 
 
 def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
