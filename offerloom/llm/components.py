@@ -44,6 +44,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def root_of(parent: dict, x: int) -> int:
+    """The class of ``x`` in a task's own table of parents."""
+    while parent.setdefault(x, x) != x:
+        parent[x] = x = parent[parent[x]]
+    return x
+
+
+def joined(parent: dict, a: int, b: int) -> bool:
+    """Puts two classes together; says whether they were apart."""
+    a, b = root_of(parent, a), root_of(parent, b)
+    parent[b] = a
+    return a != b
+
+
 def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (node, label) after ``edges`` (a, b) more: only the graph of labels that they link is searched."""
     of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))

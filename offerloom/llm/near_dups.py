@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.llm import bagminhash, words
-from offerloom.llm.components import components, merged
+from offerloom.llm.components import components, joined, merged, root_of
 from offerloom.llm.line_rules import join_key, moved, row_key
 from offerloom.llm.storage import materialize
 
@@ -77,19 +77,6 @@ def verified(pairs: DataFrame, texts: DataFrame, window: int, similarity: float)
     return with_both.select("a", "b", "a_body", "b_body").mapInPandas(run, "a long, b long, linked boolean")
 
 
-def _root_of(parent: dict, x: int) -> int:
-    while parent.setdefault(x, x) != x:
-        parent[x] = x = parent[parent[x]]
-    return x
-
-
-def _joined(parent: dict, a: int, b: int) -> bool:
-    """Puts two classes together; says whether they were apart."""
-    a, b = _root_of(parent, a), _root_of(parent, b)
-    parent[b] = a
-    return a != b
-
-
 def _arrays(texts) -> tuple[np.ndarray, ...]:
     registers = np.frombuffer(b"".join(t["registers"] for t in texts), np.uint8).reshape(len(texts), -1)
     return np.array([t["node"] for t in texts]), np.array([t["label"] for t in texts]), np.array([t["bands"] for t in texts]), registers
@@ -145,7 +132,7 @@ def across_classes(members: DataFrame, similarity: float, n_registers: int, bodi
                 out = []
                 for equal, i, j in ranked:
                     p, q = int(labels[i]), int(labels_b[j])
-                    if _joined(parent, p, q):
+                    if joined(parent, p, q):
                         out.append((int(nodes[i]), int(nodes_b[j]), min(p, q), max(p, q), int(equal)))
                 yield pd.DataFrame(out, columns=["a", "b", "p", "q", "equal"], dtype="int64")
 
@@ -170,14 +157,14 @@ def across_classes(members: DataFrame, similarity: float, n_registers: int, bodi
                 out = []
                 for i, j in np.frombuffer(x.at, np.int32).reshape(-1, 2):
                     a, b, p, q = int(x.nodes[i]), int(x.nodes[j]), int(x.labels[i]), int(x.labels[j])
-                    if _root_of(parent, p) == _root_of(parent, q):
+                    if root_of(parent, p) == root_of(parent, q):
                         continue
                     for node in (a, b):
                         if node not in bags:
                             bags[node] = bagminhash.bag_of(body[node], window)
                     common, union = bagminhash.overlap(bags[a], bags[b])
                     if common >= similarity * union - 1e-9 * union:
-                        _joined(parent, p, q)
+                        joined(parent, p, q)
                         out.append((min(a, b), max(a, b)))
                 yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 

@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 
 from offerloom.llm import words
 from offerloom.llm.bagminhash import mix, shingles, word_hashes
-from offerloom.llm.components import components, merged
+from offerloom.llm.components import components, joined, merged
 from offerloom.llm.line_rules import join_key, moved
 from offerloom.llm.storage import materialize
 
 _U = np.uint64
+#: Sets of a bucket that all others are compared with, before it is searched whole.
+STARS = 3
 #: Divisions of the domain that a set tries one after another.
 SEEDS = 4
 #: Bands up to so many elements enumerate the pairs of three partitions; larger ones have elements enough in a single one.
@@ -181,6 +183,60 @@ def signed(texts: DataFrame, window: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, th1 long, th2 long, n long, s1 long, s2 long, signatures array<long>")
 
 
+def sketch_of(h: np.ndarray) -> bytes:
+    """Whether the count of a set's elements is odd, for each of a power of two of cells that they fall in, 64 or two an element at least.
+
+    Sets that differ in d elements differ in d cells at most, so a distance of sketches bounds theirs from below.
+    """
+    cells = max(64, 1 << (2 * len(h) - 1).bit_length())
+    odd = np.bincount((h & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, a row each, with fewer cells."""
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def at_least_apart(sketch: bytes, others: list[bytes]) -> np.ndarray:
+    """A lower bound of the distance of a set to others."""
+    out = np.zeros(len(others), np.int64)
+    widths = np.array([len(x) for x in others])
+    own = np.frombuffer(sketch, np.uint8)[None, :]
+    for width in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == width)
+        rows = np.frombuffer(b"".join(others[i] for i in at), np.uint8).reshape(len(at), width)
+        least = min(width, own.shape[1])
+        out[at] = np.bitwise_count(_folded(rows, least) ^ _folded(own, least)).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _may_link(size: int, sizes: np.ndarray, sketch: bytes, others: list[bytes], percent: int) -> np.ndarray:
+    """Which of the others a set may link with, by sizes and sketches: none is passed over that does."""
+    ok = 100 * np.minimum(size, sizes) >= percent * np.maximum(size, sizes)
+    at = np.flatnonzero(ok)
+    ok[at] = at_least_apart(sketch, [others[i] for i in at]) <= (size + sizes[at]) * (100 - percent) // (100 + percent)
+    return ok
+
+
+def _sketched(bodies: DataFrame, window: int) -> DataFrame:
+    """(node, size, sketch) of ``bodies`` (node, body)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, sketches = [], []
+            for body in batch.column("body"):
+                h = set_of(body.as_py(), window)
+                sizes.append(len(h))
+                sketches.append(sketch_of(h))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], names=["node", "size", "sketch"])
+
+    return bodies.select("node", "body").mapInArrow(run, "node long, size long, sketch binary")
+
+
 def set_of(body: bytes, window: int) -> np.ndarray:
     """The hashes of one text's set in order."""
     return elements(np.frombuffer(body, np.uint8), np.array([len(body)]), window)[0]
@@ -191,8 +247,16 @@ def linked(common: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     return 100 * common >= percent * (sizes - common)
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, window: int, percent: int) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b), a row each."""
+def _verified(pairs: DataFrame, bodies: DataFrame, sketches: DataFrame, window: int, percent: int) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b), a row each. Texts are fetched for those that sketches don't rule out."""
+
+    def possible(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            keep = [bool(_may_link(x.a_size, np.array([x.b_size]), x.a_sketch, [x.b_sketch], percent)[0]) for x in frame.itertuples(index=False)]
+            yield frame.loc[keep, ["a", "b"]]
+
+    of = lambda c: sketches.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("sketch").alias(f"{c}_sketch"))
+    pairs = materialize(pairs.join(of("b"), "b").join(of("a"), "a").mapInPandas(possible, "a long, b long"), "sets-possible")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, np.ndarray] = {}
@@ -236,41 +300,71 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 def across(members: DataFrame, bodies: DataFrame, window: int, percent: int) -> DataFrame:
     """(a, b): links that put different classes of a bucket together, all that are needed.
 
-    ``members`` is (bucket, n, bytes, node, label). A bucket is cut by label and hash
-    into tiles of about ``TILE`` sets and ``TILE_BYTES`` of text at most, and a
-    task finds the sizes of all intersections of two tiles by a product of
-    matrices. Of a pair of tiles that hold one class nothing is done, equal pairs of
-    tiles of several buckets are one, and a task hands on a row for two classes that
-    it joins, not for each link.
+    ``members`` is (bucket, n, bytes, node, label, size, sketch). A bucket is cut by
+    hash into tiles of about ``TILE`` sets and ``TILE_BYTES`` of elements at most. A
+    task compares the sketches of two tiles and hands on one row of the sets that may
+    link across classes, for which alone texts are fetched; the task that gets these
+    finds the sizes of all intersections by products of matrices, and hands on a row
+    for two classes that it joins, not for each link. Equal tiles of several buckets are one.
     """
     tiles = F.greatest(F.ceil(F.greatest(F.col("n") / TILE, F.col("bytes") / TILE_BYTES)).cast("int"), F.lit(1))
     dealt = members.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    held = dealt.groupBy("bucket", "tiles", "tile").agg(F.array_sort(F.collect_list(F.struct("node", "label"))).alias("sets"), F.min("label").alias("low"), F.max("label").alias("high"))
+    held = dealt.groupBy("bucket", "tiles", "tile").agg(F.array_sort(F.collect_list(F.struct("node", "label", "size", "sketch"))).alias("sets"), F.min("label").alias("low"), F.max("label").alias("high"))
     held = materialize(held, "sets-tiles")
     left = held.withColumn("other", F.explode(F.sequence(F.col("tile"), F.col("tiles") - 1))).withColumn("tk", join_key("bucket", "other"))
     right = held.select(join_key("bucket", "tile").alias("tk"), F.col("sets").alias("others"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    both = left.join(right, "tk").filter("least(low, low_b) < greatest(high, high_b)")
-    both = both.withColumn("key", F.struct(F.xxhash64("sets", "others").alias("k1"), F.xxhash64(F.lit(7), "sets", "others").alias("k2")))
-    both = materialize(both.groupBy("key").agg(F.first("sets").alias("sets"), F.first("others").alias("others")).select(F.monotonically_increasing_id().alias("pair"), "sets", "others"), "sets-pairs")
-    wanted = both.select("pair", F.explode(F.array_distinct(F.concat("sets.node", "others.node"))).alias("node")).join(bodies, "node")
-    texts = wanted.groupBy("pair").agg(F.collect_list(F.struct("node", "body")).alias("texts")).select(F.hex("pair").alias("pk"), "texts")
-    ready = both.withColumn("pk", F.hex("pair")).join(texts, "pk").select("sets", "others", "texts")
+    both = left.join(right, "tk").filter("least(low, low_b) < greatest(high, high_b)").withColumn("others", F.when(F.col("tile") != F.col("other"), F.col("others")))
+    both = both.select("sets", "others", F.xxhash64("sets.node", "others.node").alias("k1"), F.xxhash64(F.lit(7), "sets.node", "others.node").alias("k2")).dropDuplicates(["k1", "k2"])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for x in frame.itertuples(index=False):
-                sets = {t["node"]: set_of(t["body"], window) for t in x.texts}
-                a, b = ([(s["node"], s["label"]) for s in side] for side in (x.sets, x.others))
-                sizes = [np.array([len(sets[n]) for n, _ in side]) for side in (a, b)]
-                common = _overlaps([sets[n] for n, _ in a], [sets[n] for n, _ in b])
-                i, j = np.nonzero(linked(common, sizes[0][:, None] + sizes[1][None, :], percent))
-                found = {}
-                for p, q in zip(i.tolist(), j.tolist()):
-                    if a[p][1] != b[q][1]:
-                        found.setdefault((min(a[p][1], b[q][1]), max(a[p][1], b[q][1])), (a[p][0], b[q][0]))
-                yield pd.DataFrame(list(found.values()), columns=["a", "b"], dtype="int64")
+            for a, b in zip(frame["sets"], frame["others"]):
+                b = a if b is None else b
+                labels, sizes, sketches = np.array([t["label"] for t in b]), np.array([t["size"] for t in b]), [t["sketch"] for t in b]
+                keep: set[int] = set()
+                mine = []
+                for t in a:
+                    apart = np.flatnonzero(labels != t["label"])
+                    found = apart[_may_link(t["size"], sizes[apart], t["sketch"], [sketches[i] for i in apart], percent)].tolist()
+                    if found:
+                        mine.append((t["node"], t["label"]))
+                        keep.update(found)
+                if mine:
+                    theirs = [] if b is a else [(b[i]["node"], b[i]["label"]) for i in sorted(keep)]
+                    yield pd.DataFrame({"sides": [[{"side": k, "node": n, "label": m} for k, side in enumerate((mine, theirs)) for n, m in side]]})
+
+    lists = materialize(both.select("sets", "others").mapInPandas(asked, "sides array<struct<side:int,node:long,label:long>>").withColumn("pair", F.monotonically_increasing_id()), "sets-asked")
+    wanted = lists.select("pair", F.explode("sides").alias("s")).select("pair", "s.*")
+    texts = wanted.join(bodies, "node").groupBy("pair").agg(F.collect_list(F.struct("side", "node", "label", "body")).alias("texts"))
+
+    def decided(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for texts in frame["texts"]:
+                sides = [sorted((t for t in texts if t["side"] == side), key=lambda t: t["node"]) for side in (0, 1)]
+                sides[1] = sides[1] or sides[0]
+                sets = [[set_of(t["body"], window) for t in side] for side in sides]
+                sizes = [np.array([len(s) for s in side]) for side in sets]
+                labels = [np.array([t["label"] for t in side]) for side in sides]
+                near = linked(_overlaps(*sets), sizes[0][:, None] + sizes[1][None, :], percent) & (labels[0][:, None] != labels[1][None, :])
+                parent: dict[int, int] = {}
+                found = [(sides[0][i]["node"], sides[1][j]["node"]) for i, j in zip(*(x.tolist() for x in np.nonzero(near))) if joined(parent, int(labels[0][i]), int(labels[1][j]))]
+                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return texts.select("texts").mapInPandas(decided, "a long, b long")
+
+
+def _to_pivots(members: DataFrame) -> DataFrame:
+    """(a, b): every set of a bucket with the bucket's first one, where their classes differ as far as is known; ``members`` is (bucket, node, pivot), or has ``label`` and ``pivot_label`` too."""
+    apart = members.filter("node != pivot") if "label" not in members.columns else members.filter("node != pivot AND label != pivot_label")
+    return apart.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+
 
-    return ready.mapInPandas(run, "a long, b long")
+def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, label, pivot, pivot_label): what ``members`` (bucket, node, pivot) holds besides the pivots, of the buckets where that is several classes yet, with new pivots."""
+    rest = members.filter("node != pivot").select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    first = rest.groupBy("bucket").agg(F.min(F.struct("node", "label")).alias("p"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    first = first.select(F.hex("bucket").alias("hb"), F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"))
+    return rest.withColumn("hb", F.hex("bucket")).join(first, "hb").drop("hb")
 
 
 def join_classes(docs: DataFrame, window: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,8 +378,11 @@ def join_classes(docs: DataFrame, window: int = 4, percent: int = 85, id_col: st
     Texts of any length are signed and compared whole; other columns are ignored.
 
     Equal sets are one node. Sets that share a signature are a bucket: all are
-    compared with its first one, which joins copies in one comparison each, and
-    buckets that hold several classes then are searched whole (``across``).
+    compared with its first one, which joins copies in one comparison each; what a
+    bucket holds besides, if it is of several classes, with the first one of that, and so on
+    ``STARS`` times, which decides all small buckets. What is of several classes
+    even then is searched whole (``across``). All of that looks at sketches first,
+    that rule a pair out only for sure, and then at the texts' whole sets.
     """
     h1, h2 = words.fingerprint(F.col(text_col))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), h1.alias("th1"), h2.alias("th2"), F.encode(words.text_or_empty(F.col(text_col)), "UTF-8").alias("body"))
@@ -296,8 +393,8 @@ def join_classes(docs: DataFrame, window: int = 4, percent: int = 85, id_col: st
     of_row = materialize(rows.filter("n > 0").withColumn("sk", set_key()).join(nodes.select(set_key(), "node"), "sk").select("row", "id", "node"), "sets-rows")
 
     shared = every.select("row", F.explode("signatures").alias("bucket"))
-    meet = shared.groupBy("bucket").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high").select(F.col("bucket").bitwiseXOR(F.lit(0x5DEECE66D)).alias("hb"))
-    found = shared.withColumn("hb", F.col("bucket").bitwiseXOR(F.lit(0x5DEECE66D))).join(meet, "hb").select("bucket", "row")
+    meet = shared.groupBy("bucket").agg(F.count("*").alias("rows")).filter("rows > 1").select(*moved("bucket"))
+    found = shared.select(*moved("bucket"), "row").join(meet, "m0").withColumnRenamed("m0", "bucket")
     found = found.join(of_row.select("row", "node"), "row").select("bucket", "node").distinct()
     members = materialize(found, "sets-members")
     first = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot < last").select(F.hex("bucket").alias("hb"), "pivot")
@@ -305,16 +402,22 @@ def join_classes(docs: DataFrame, window: int = 4, percent: int = 85, id_col: st
 
     wanted = members.select("node").distinct().join(every.select(F.col("row").alias("node"), "th1", "th2"), "node").select(*moved("th1", "th2"), "node")
     bodies = materialize(texts.select("body", *moved("th1", "th2")).join(wanted, ["m0", "m1"]).select("node", "body").dropDuplicates(["node"]), "sets-texts")
-    pairs = members.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    edges = materialize(_verified(pairs, bodies, window, percent), "sets-stars")
-    labels = components(edges)
-    weighed = bodies.select("node", F.octet_length("body").alias("bytes"))
-    of_node = members.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")).join(weighed, "node")
-    split = of_node.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high AND n > 2").select(F.hex("bucket").alias("hb"), "n", "bytes")
-    live = of_node.drop("bytes").withColumn("hb", F.hex("bucket")).join(split, "hb").drop("hb")
-    more = materialize(across(live, bodies, window, percent), "sets-across")
-    if not more.isEmpty():
-        labels = merged(labels, more)
+    sketches = materialize(_sketched(bodies, window), "sets-sketches")
+    edges = materialize(_verified(_to_pivots(members), bodies, sketches, window, percent), "sets-stars")
+    labels, left = components(edges), members
+    for again in range(STARS):
+        left = materialize(_undecided(left, labels), "sets-left")
+        if again + 1 == STARS or left.isEmpty():
+            break
+        edges = materialize(_verified(_to_pivots(left), bodies, sketches, window, percent), "sets-stars")
+        if not edges.isEmpty():
+            labels = merged(labels, edges)
+    weighed = left.join(sketches, "node")
+    sizes = weighed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(8 * F.col("size")).alias("bytes")).select(F.hex("bucket").alias("hb"), "n", "bytes")
+    live = weighed.withColumn("hb", F.hex("bucket")).join(sizes, "hb").select("bucket", "n", "bytes", "node", "label", "size", "sketch")
+    edges = materialize(across(live, bodies, window, percent), "sets-across")
+    if not edges.isEmpty():
+        labels = merged(labels, edges)
 
     placed = of_row.withColumn("nk", F.hex("node")).join(labels.select(F.hex("node").alias("nk"), "label"), "nk", "left").select("row", "id", F.coalesce("label", "node").alias("label"))
     least = placed.groupBy("label").agg(F.min("id").alias("component")).select(F.hex("label").alias("lk"), "component")

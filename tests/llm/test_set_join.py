@@ -121,3 +121,16 @@ def test_hot_group_below_the_similarity(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert set_join.join_classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_sketches_bound_distances_from_below():
+    rng = np.random.default_rng(4)
+    for n, m in [(1, 1), (1, 40), (30, 33), (200, 220), (700, 1500)]:
+        for common in (0, n // 2, n):
+            universe = rng.integers(0, 1 << 63, n + m, dtype=np.uint64)
+            a, b = universe[:n], np.concatenate([universe[:common], universe[n : n + m - common]])
+            apart = set_join.at_least_apart(set_join.sketch_of(a), [set_join.sketch_of(x) for x in (b, a, b)])
+            assert apart[1] == 0 and apart[0] == apart[2] <= n + m - 2 * common
+            assert common < n or n != m or apart[0] == 0
+    far = set_join.at_least_apart(set_join.sketch_of(universe[:300]), [set_join.sketch_of(universe[300:600])])
+    assert far[0] > 300
