@@ -96,10 +96,36 @@ def one_decimal(c: Column) -> Column:
     return F.floor(c * 10 + 0.5) / 10.0
 
 
-def rating(c: Column, scale: float = 1.0) -> Column:
-    """The first decimal number, divided by ``scale`` (20 for percentages), within 0 and 5."""
-    first = number(F.replace(F.regexp_extract(text(c), "\\d+(?:[.,]\\d+)?", 0), F.lit(","), F.lit(".")))
-    return F.least(F.greatest(first / scale, F.lit(0.0)), F.lit(5.0))
+def least_of(amounts: Column) -> Column:
+    """The smallest positive one of an array, else 0."""
+    return _least(amounts)
+
+
+def leading_number(c: Column) -> Column:
+    """The plain decimal that a text begins with, else 0."""
+    return number(F.regexp_extract(text(c), "^\\s*([0-9]+\\.?[0-9]*|\\.[0-9]+)", 1))
+
+
+def rating_with_comma(c: Column) -> Column:
+    """The first run of digits and commas, the first comma decimal; as it is."""
+    return leading_number(F.regexp_replace(F.regexp_extract(text(c), "([0-9,]+)", 1), "^([0-9]*),", "$1."))
+
+
+def rating_of_five(c: Column, exact: bool = False) -> Column:
+    """The number in front with one decimal (or as it is); 0 above 5."""
+    n = leading_number(c)
+    return F.when((n > 0) & (n <= 5), n if exact else one_decimal(n)).otherwise(0.0)
+
+
+def rating_of_percent(c: Column) -> Column:
+    """The number in front, of a hundred, on the scale of five with one decimal."""
+    return one_decimal(leading_number(c) / 20)
+
+
+def rating_of_either(c: Column) -> Column:
+    """The first run of digits and points: as it is up to 5, of a hundred above, 0 above that."""
+    n = leading_number(F.regexp_extract(text(c), "([0-9.]+)", 1))
+    return F.when(n <= 5, n).when(n <= 100, one_decimal(n / 20)).otherwise(0.0)
 
 
 def count(c: Column) -> Column:

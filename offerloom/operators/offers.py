@@ -23,10 +23,10 @@ def union_sources(offers: dict[str, DataFrame], order: tuple[str, ...] = d.SELLE
     return every.withColumn("idx", F.shiftleft(F.col("source_rank").cast("long"), 52) + F.col("pos"))
 
 
-def normalised(offers: DataFrame, barcodes: DataFrame | None = None) -> DataFrame:
+def normalised(offers: DataFrame, barcodes: DataFrame | None = None, site: str = "Trendyol") -> DataFrame:
     """Brand, name, category, label and barcode in normal form; ``raw_name`` keeps the name.
 
-    ``barcodes`` (productUrl, code) overrides an offer's barcode where it has one.
+    ``barcodes`` (id, code) overrides the barcode of an offer of ``site`` where it has one for the offer's id.
     """
     name = F.when(F.col("name").startswith("*"), text.strip(F.regexp_replace("name", r"^\*+", ""))).otherwise(text.text(F.col("name")))
     trimmed = text.strip(F.regexp_replace(text.strip(F.regexp_replace(name, f"^\\+\\d+[{text.SPACE}]*", "")), f"[{text.SPACE}]*\\(\\d+\\)[{text.SPACE}]*$", ""))
@@ -41,8 +41,9 @@ def normalised(offers: DataFrame, barcodes: DataFrame | None = None) -> DataFram
     rows = rows.withColumn("barcode", F.coalesce("barcode", F.lit("")))
     if barcodes is None:
         return rows
-    known = barcodes.filter(F.length("code") > 0).select(F.col("productUrl"), F.col("code").alias("_code")).dropDuplicates(["productUrl"])
-    return rows.join(known, "productUrl", "left").withColumn("barcode", F.coalesce("_code", "barcode")).drop("_code")
+    known = barcodes.filter(F.length("code") > 0).groupBy(F.col("id").cast("string").alias("_id")).agg(F.max("code").alias("_code"))
+    keyed = rows.withColumn("_id", F.when(F.col("site") == site, F.col("id").cast("string")))
+    return keyed.join(known, "_id", "left").withColumn("barcode", F.coalesce("_code", "barcode")).drop("_id", "_code")
 
 
 def _word(rule: str) -> str:
@@ -129,6 +130,24 @@ def union_options(rows: DataFrame, shades: DataFrame, key: str, at_least: int =
     return rows.join(table, key, "left").withColumn("shadeOptions", F.array_union(old, F.coalesce("_s", F.array().cast("array<string>")))).drop("_s")
 
 
+def seller_options(rows: DataFrame, shades: DataFrame, seller: str = "sephora", at_least: int = 2, key: str = "key", url: str = "productUrl", id_col: str = "id", source: str = "source") -> DataFrame:
+    """``shadeOptions`` of one seller's products joined with a checkpoint (key, shades) by url, else by id, where that holds ``at_least`` shades.
+
+    An entry by url counts even if it has too few: the id is tried only where the url
+    is unknown. Products of other sellers stay as they are, and so do those that gain none.
+    """
+    none = F.array().cast("array<string>")
+    table = shades.select(F.col(key).cast("string").alias("_k"), F.coalesce("shades", none).alias("_s")).groupBy("_k").agg(F.max("_s").alias("_s"))
+    by = lambda c, n: table.select(F.col("_k").alias(f"_{n}k"), F.col("_s").alias(f"_{n}s"))
+    old = F.coalesce("shadeOptions", none) if "shadeOptions" in rows.columns else none
+    own = F.coalesce(F.col(source) == seller, F.lit(False))
+    keyed = rows.withColumns({"_uk": F.when(own, F.col(url)), "_ik": F.when(own, F.col(id_col).cast("string"))})
+    both = keyed.join(by(url, "u"), "_uk", "left").join(by(id_col, "i"), "_ik", "left")
+    found = F.coalesce("_us", "_is")
+    grown = F.array_union(old, found)
+    return both.withColumn("shadeOptions", F.when((F.size(found) >= at_least) & (F.size(grown) > F.size(old)), grown).otherwise(old)).drop("_uk", "_ik", "_us", "_is")
+
+
 def kept_pages(rows: DataFrame, groups: list[str], page: str, key: str, least_new: float = 0.2) -> DataFrame:
     """Rows of the pages that an adaptive crawl reads.
 
@@ -171,5 +190,24 @@ def top_rows(rows: DataFrame, keys: list[str], most: int, idx: str = "idx") -> D
 
 
 def looks_missing(body: Column, status: Column) -> Column:
-    """Whether a landed page is an error page, whatever its status says."""
-    return (F.coalesce(status, F.lit(200)) >= 400) | text.matches(body, r"(?:sayfa bulunamadı|page not found|404)")
+    """Whether a landed page is an error page: by status (403, 404, 500 and above), by what it says, or by a 404 in a text under 2,000 characters."""
+    code, said = F.coalesce(status, F.lit(200)), F.lower(text.text(body))
+    return code.isin(403, 404) | (code >= 500) | said.contains("sayfa bulunamadi") | said.contains("page not found") | said.contains("404") & (F.length(said) < 2000)
+
+
+def alternative_paths(name: Column, label: Column) -> Column:
+    """Paths that a category is tried at when its own one is missing, in order."""
+    encoded = F.url_encode(text.text(label))
+    for escaped, plain in (("+", "%20"), ("%21", "!"), ("%27", "'"), ("%28", "("), ("%29", ")"), ("%7E", "~")):
+        encoded = F.replace(encoded, F.lit(escaped), F.lit(plain))
+    return F.array(F.concat(F.lit("/c/"), name), F.concat(F.lit("/search?q="), encoded), F.concat(F.lit("/makyaj/c/003?q=%3Arelevance%3Acategory%3A"), name))
+
+
+def first_working(attempts: DataFrame, key: str, order: str, body: str = "body", status: str = "status") -> DataFrame:
+    """The first landed attempt of each key that is no error page; keys without one are left out.
+
+    Partial minima meet by key and a semi-join takes the rows, so pages move once.
+    """
+    good = attempts.filter(~looks_missing(F.col(body), F.col(status)))
+    first = good.groupBy(key).agg(F.min(order).alias(order))
+    return good.join(first, [key, order], "left_semi")

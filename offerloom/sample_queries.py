@@ -90,25 +90,25 @@ def q46_names_compared_and_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("part", text.match_name(name, brand).alias("compared"), text.shown_name(name, brand).alias("shown"), "prefix", text.without_prefix(name, F.col("prefix")).alias("rest"))
 
 
-#: Fixed values: (text, its rating of five, its rating in percent, its count, whether its count is a plausible price).
-RATED = (
-    ("4,5 / 5", "4.5", "0.225", "455", "true"),
-    ("90", "5", "4.5", "90", "true"),
-    ("(1.234 yorum)", "1.234", "0.0617", "1234", "true"),
-    ("yok", "0", "0", "0", "false"),
-    ("50000", "5", "5", "50000", "false"),
-    ("49999", "5", "5", "49999", "true"),
-)
-
-
-@query(f"""
-SELECT p_partkey AS part, {_numbers(RATED, 1)} AS rating, floor({_numbers(RATED, 2)} * 10000 + 0.5) / 10000 AS of_percent,
-       {_numbers(RATED, 3)}::BIGINT AS n, {sql_pick(_column(RATED, 4), "p_partkey")} = 'true' AS plausible FROM part
+@query("""
+WITH d AS (SELECT p_partkey AS part, p_size AS n, p_partkey % 10 AS digit FROM part)
+SELECT part, CASE WHEN n BETWEEN 1 AND 5 AND digit = 0 THEN n::DOUBLE WHEN n < 5 THEN (n || '.' || digit)::DOUBLE ELSE 0 END AS of_five, (n || '.' || digit)::DOUBLE AS with_comma,
+       floor((n * 2 + digit / 10) / 20 * 10 + 0.5) / 10 AS of_percent, CASE WHEN n * 3 <= 5 THEN n * 3 WHEN n * 3 <= 100 THEN floor(n * 3 / 20 * 10 + 0.5) / 10 ELSE 0 END::DOUBLE AS of_either,
+       (n || '0' || digit)::BIGINT AS n_reviews, n * 1100 > 0 AND n * 1100 < 50000 AS plausible FROM d
 """)
 def q47_ratings_and_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, raw = _cases(spark, sf_dir, RATED, "raw"), F.col("raw")
-    percent = F.floor(prices.rating(raw, 20.0) * 10000 + 0.5) / 10000.0
-    return rows.select("part", prices.rating(raw).alias("rating"), percent.alias("of_percent"), prices.count(raw).alias("n"), prices.plausible(prices.count(raw).cast("double")).alias("plausible"))
+    """Ratings by each seller's reading: of five (0 above), with a comma, of a hundred, or of whichever fits."""
+    n, digit = F.col("p_size"), F.col("p_partkey") % 10
+    of = lambda *x: F.concat(*(F.lit(v) if isinstance(v, str) else v.cast("string") for v in x))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("part"),
+        prices.rating_of_five(of(" ", n, ".", digit, " / 5")).alias("of_five"),
+        prices.rating_with_comma(of("Puan: ", n, ",", digit, " (5)")).alias("with_comma"),
+        prices.rating_of_percent(of(n * 2, ".", digit, "%")).alias("of_percent"),
+        prices.rating_of_either(of("yıldız ", n * 3, "/100")).alias("of_either"),
+        prices.count(of("(", n, ".0", digit, " yorum)")).alias("n_reviews"),
+        prices.plausible((n * 1100).cast("double")).alias("plausible"),
+    )
 
 
 #: Fixed values: (url, unwrapped, with its origin, product number, barcode, code).
@@ -171,86 +171,34 @@ def q52_linked_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.variants(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), html.alias("html")), "part")
 
 
-#: Fixed values: (page, its barcode, its brand, its inline barcode).
-CODED = (
-    ('{"gtin13":"222","gtin":"111","brand":{"@type":"Brand","name":"B1"}}<meta itemprop="gtin8" content="333">', "111", "B1", ""),
-    ('{"gtin13": "222"}<meta itemprop="brand" content="B2"><td>Barkod</td><td>44444444</td>', "222", "B2", ""),
-    ('<meta property="product:gtin" content="333"><th>EAN</th> <td> 44444444 </td>{"brand":"B3"}', "333", "B3", ""),
-    ("<tr><td>Barcode No</td> <td> 44444444</td></tr>", "44444444", "", ""),
-    ('x "barcode":"8690000000001" "barcode":8690000000002', "", "", "8690000000001"),
-    ('x "barcode":8690000000002, "barcode":"1"', "", "", "8690000000002"),
-    ("", "", "", ""),
-)
-
-
-@query(f"SELECT p_partkey AS part, {sql_pick(_column(CODED, 1), 'p_partkey')} AS barcode, {sql_pick(_column(CODED, 2), 'p_partkey')} AS brand, {sql_pick(_column(CODED, 3), 'p_partkey')} AS inline FROM part")
-def q53_page_codes_and_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, html = _cases(spark, sf_dir, CODED, "html"), F.col("html")
-    return rows.select("part", markup.page_barcode(html).alias("barcode"), markup.page_brand(html).alias("brand"), landed.inline_barcode(html).alias("inline"))
-
-
-#: Fixed values: (API body, its barcode).
-BODIES = (
-    ('{"variants":[{"barcode":"1","gtin":"2"}],"barcode":"3"}', "1"),
-    ('{"variants":[{"barcode":"","gtin":"2"}],"barcode":"3"}', "2"),
-    ('{"variants":[],"barcode":"3","gtin":"4"}', "3"),
-    ('{"variants":[{}],"gtin":"4"}', "4"),
-    ("{}", ""),
-    ("{oops", ""),
-)
-
-
-@query(f"SELECT p_partkey AS part, nullif({sql_pick(_column(BODIES, 1), 'p_partkey')}, '') AS barcode FROM part")
-def q54_api_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cases(spark, sf_dir, BODIES, "body").select("part", landed.api_barcode(F.col("body")).alias("barcode"))
-
-
 @query("""
 SELECT p_partkey AS part, CASE WHEN p_partkey % 3 = 0 THEN 'x' WHEN p_partkey % 3 = 1 THEN p_type ELSE '' END AS filled,
-       CASE WHEN p_partkey % 5 = 0 THEN 'primary' WHEN p_partkey % 5 = 1 THEN 'first' WHEN p_partkey % 5 = 2 THEN 'gallery' WHEN p_partkey % 5 = 3 THEN 'picture' END AS image FROM part
+       CASE WHEN p_partkey % 7 IN (0, 1) THEN 'main ' || p_name WHEN p_partkey % 7 = 2 THEN 'first ' || p_name WHEN p_partkey % 7 IN (3, 4) THEN 'gallery ' || p_name WHEN p_partkey % 7 = 5 THEN 'picture ' || p_name END AS image FROM part
 """)
 def q55_first_filled_and_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    image = lambda kind, url: F.struct(F.lit(kind).alias("type"), F.lit(url).alias("url"))
-    none = F.array().cast("array<struct<type:string,url:string>>")
-    images = F.when(k % 5 == 0, F.array(image("OTHER", "first"), image("PRIMARY", "primary"))).when(k % 5 == 1, F.array(image("OTHER", "first"), image("OTHER", "second"))).otherwise(none)
-    gallery = F.when(k % 5 == 2, F.array(image("", "gallery"))).otherwise(none)
+    """The primary image by type or by place, else the first; one without a url leaves it to the gallery, and that to the picture."""
+    k, turn = F.col("p_partkey"), F.col("p_partkey") % 7
+    url = lambda kind: F.concat(F.lit(f"{kind} "), F.col("p_name"))
+    image = lambda kind, place, url: F.struct(F.lit(kind).alias("imageType"), F.lit(place).cast("int").alias("galleryIndex"), (F.lit("") if url is None else url).alias("url"))
+    other = image("GALLERY", 3, url("first"))
+    images = F.when(turn == 0, F.array(other, image("PRIMARY", 2, url("main")))).when(turn == 1, F.array(other, image("GALLERY", 0, url("main")), image("PRIMARY", 1, url("late"))))
+    images = images.when(turn == 2, F.array(other, image("GALLERY", None, url("second")))).when(turn == 3, F.array(other, image("PRIMARY", 1, None)))
+    gallery = F.when(turn.isin(0, 3, 4), F.array(F.struct(url("gallery").alias("url")), F.struct(F.lit("x").alias("url")))).when(turn == 5, F.array(F.struct(F.lit("").alias("url"))))
     filled = landed.first_filled(F.when(k % 3 == 0, "x").otherwise("  "), F.when(k % 3 != 2, F.col("p_type")), F.lit(""))
-    return table(spark, sf_dir, "part").select(k.alias("part"), filled.alias("filled"), landed.product_image(images, gallery, F.when(k % 5 == 3, "picture")).alias("image"))
-
-
-#: Fixed values: (product text, its start, vegan, not tested on animals).
-DETAILS = (
-    ("  Vegan  formül\n\ttemiz ", "Vegan formül temiz", "true", "false"),
-    ("Cruelty-Free ürün", "Cruelty-Free ürün", "false", "true"),
-    ("hayvanlar üzerinde test edilmez, vegan", "hayvanlar üzerinde test edilmez, vegan", "true", "true"),
-    ("y" * 401, "y" * 400, "false", "false"),
-    ("", "", "false", "false"),
-)
-
-
-@query(f"""
-SELECT p_partkey AS part, {sql_pick(_column(DETAILS, 1), "p_partkey")} AS "desc", {sql_pick(_column(DETAILS, 2), "p_partkey")} = 'true' AS vegan,
-       {sql_pick(_column(DETAILS, 3), "p_partkey")} = 'true' AS cruelty_free, list_extract(['Nude 01,Rose', 'Rose', ''], (p_partkey % 3 + 1)::INT) AS shades FROM part
-""")
-def q56_detail_flags_and_shades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _cases(spark, sf_dir, DETAILS, "body")
-    desc, vegan, free = markup.detail_flags(F.col("body"))
-    listed = lambda *names: F.array(*map(F.lit, names))
-    shades = F.when(F.col("part") % 3 == 0, listed("Nude 01 (30 ml)", "Rose", "Nude 01", "x")).when(F.col("part") % 3 == 1, listed("Rose (1,5 g)", "z" * 80)).otherwise(F.array().cast("array<string>"))
-    return rows.select("part", desc.alias("desc"), vegan.alias("vegan"), free.alias("cruelty_free"), F.array_join(markup.shade_list(shades), ",").alias("shades"))
+    return table(spark, sf_dir, "part").select(k.alias("part"), filled.alias("filled"), landed.product_image(images, gallery, F.when(turn != 6, url("picture"))).alias("image"))
 
 
 @query("""
-SELECT p_partkey AS part, CASE WHEN p_partkey % 3 = 0 THEN 'new' || p_partkey ELSE 'old' END AS image, CASE WHEN p_partkey % 2 = 0 THEN '869' || p_partkey ELSE 'b' || p_partkey END AS barcode FROM part
+SELECT p_partkey AS part, CASE WHEN p_partkey % 3 = 0 THEN 'new' || p_partkey ELSE 'old' END AS image, CASE WHEN p_partkey % 2 = 0 AND p_partkey % 5 > 0 THEN '869' || p_partkey ELSE 'b' || p_partkey END AS barcode FROM part
 """)
 def q57_filled_from_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Images and barcodes of checkpoints by url; an empty or missing value leaves what was there. Barcodes come in with the normal form."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"))
+    """Images of checkpoints by url; an empty or missing value leaves what was there. Barcodes come in with the normal form, by id, and for one seller alone."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"))
     url = F.concat(F.lit("u"), F.col("part"))
     known = part.select(url.alias("productUrl"), F.when(F.col("part") % 3 == 0, F.concat(F.lit("new"), F.col("part"))).when(F.col("part") % 3 == 1, "").alias("value"))
-    codes = part.select(url.alias("productUrl"), F.when(F.col("part") % 2 == 0, F.concat(F.lit("869"), F.col("part"))).otherwise("").alias("code"))
-    rows = part.select("part", url.alias("productUrl"), F.lit("old").alias("image"), F.concat(F.lit("b"), F.col("part")).alias("barcode"), F.lit("Trendyol").alias("site"), F.lit("Mat Ruj").alias("name"), F.lit("Flormar").alias("brand"), F.lit("ruj").alias("category"), F.lit("Ruj").alias("categoryLabel"))
+    codes = part.select("id", F.when(F.col("part") % 2 == 0, F.concat(F.lit("869"), F.col("part"))).otherwise("").alias("code"))
+    site = F.when(F.col("part") % 5 == 0, "Gratis").otherwise("Trendyol")
+    rows = part.withColumns({"productUrl": url, "image": F.lit("old"), "barcode": F.concat(F.lit("b"), F.col("part")), "site": site, "category": F.lit("ruj"), "categoryLabel": F.lit("Ruj")})
     return offers.normalised(offers.filled(rows, known, "productUrl", "value", "image"), codes).select("part", "image", "barcode")
 
 
@@ -281,17 +229,13 @@ def q60_robots_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robots.report(robots.decisions(paths, rules, "page_id")).crossJoin(F.broadcast(robots.crawl_delay(rules).drop("host")))
 
 
-#: Fixed values: (page text, status, whether it is an error page).
-MISSING = (
-    ("<h1>Sayfa Bulunamadı</h1>", "200", "true"),
-    ("<h1>Page not found</h1>", "200", "true"),
-    ("<h1>Ruj</h1>", "410", "true"),
-    ("<h1>Ruj</h1>", "", "false"),
-    ("<h1>Ruj</h1>", "200", "false"),
-)
-
-
-@query(f"SELECT p_partkey AS part, {sql_pick(_column(MISSING, 2), 'p_partkey')} = 'true' AS missing FROM part")
+@query("""
+SELECT page_id, CASE page_id % 8 WHEN 0 THEN TRUE WHEN 1 THEN TRUE WHEN 2 THEN length(url) + 4 < 2000 WHEN 3 THEN FALSE WHEN 4 THEN TRUE WHEN 5 THEN FALSE WHEN 6 THEN TRUE ELSE FALSE END AS missing FROM pages
+""")
 def q61_looks_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _cases(spark, sf_dir, MISSING, "body", "status")
-    return rows.select("part", offers.looks_missing(F.col("body"), F.col("status").try_cast("int")).alias("missing"))
+    """Error pages by what they say, by a 404 in a short text, and by status 403, 404 and 500 and above."""
+    turn, url = F.col("page_id") % 8, F.coalesce("url", F.lit(""))
+    said = F.when(turn == 0, F.concat(url, F.lit(" SAYFA BULUNAMADI"))).when(turn == 1, F.concat(F.lit("Page not found: "), url)).when(turn == 2, F.concat(url, F.lit(" 404")))
+    said = said.when(turn == 3, F.concat(F.lit("404 TL "), F.repeat(F.lit("x"), 1993))).otherwise("Sayfa bulunamadı")
+    status = F.when(turn == 4, 404).when(turn == 5, 410).when(turn == 6, 503).when(turn < 4, 200)
+    return table(spark, sf_dir, "pages").select("page_id", offers.looks_missing(said, status).alias("missing"))

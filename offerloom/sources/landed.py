@@ -107,10 +107,16 @@ def inline_barcode(html: Column) -> Column:
     return F.regexp_extract(text.text(html), '"barcode":"?(\\d{8,14})"?', 1)
 
 
-def api_barcode(body: Column) -> Column:
-    """The first non-empty of the first variant's barcode and gtin, and the product's own."""
-    paths = ("$.variants[0].barcode", "$.variants[0].gtin", "$.barcode", "$.gtin")
-    return F.coalesce(*(F.nullif(F.get_json_object(body, p), F.lit("")) for p in paths))
+def response_barcode(detail: Column, other: Column) -> Column:
+    """The barcode of a product's landed responses: of the detail body, whose product lies below ``result`` or at the top; the other endpoint's only where there is no detail body that can be read.
+
+    Empty where neither has one. Numbers count as their digits.
+    """
+    first = lambda body, *paths: F.coalesce(*(F.nullif(text.strip(F.get_json_object(body, p)), F.lit("")) for p in paths))
+    of = lambda root: [f"{root}.product.{x}" for x in ("variants[0].barcode", "variants[0].gtin", "barcode", "gtin")]
+    below = F.get_json_object(detail, "$.result").isNotNull()
+    found = F.when(below, first(detail, *of("$.result"))).otherwise(first(detail, *of("$")))
+    return F.coalesce(F.when(F.get_json_object(detail, "$").isNotNull(), found).otherwise(first(other, "$.result.variants[0].barcode", "$.result.variants[0].gtin")), F.lit(""))
 
 
 def first_filled(*candidates: Column) -> Column:
@@ -119,6 +125,7 @@ def first_filled(*candidates: Column) -> Column:
 
 
 def product_image(images: Column, gallery: Column, picture: Column) -> Column:
-    """The primary image's url, else the first one's, the first of the gallery, or the picture; null without any."""
-    primary = F.get(F.filter(images, lambda i: i["type"] == "PRIMARY"), F.lit(0))["url"]
-    return F.coalesce(*(F.nullif(c, F.lit("")) for c in (primary, F.get(images, F.lit(0))["url"], F.get(gallery, F.lit(0))["url"], picture)))
+    """The url of the primary image (by its type or as the first of the gallery), of the first one if none is; where it has none the gallery's first, or the picture; null without any."""
+    primary = F.get(F.filter(images, lambda i: (i["imageType"] == "PRIMARY") | (i["galleryIndex"] == 0)), F.lit(0))
+    url = F.when(primary.isNotNull(), primary["url"]).otherwise(F.get(images, F.lit(0))["url"])
+    return F.coalesce(*(F.nullif(c, F.lit("")) for c in (url, F.get(gallery, F.lit(0))["url"], picture)))

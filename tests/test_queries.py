@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from offerloom import queries, sample_queries
+from offerloom import queries, sample_queries, seller_queries
 
 
 @pytest.fixture
@@ -39,7 +39,7 @@ def test_tiers_of_all_products(spark, parts):
     assert {r.tier for r in found} == {0, 1, 2}
 
 
-ON_PARTS = sorted(n for n in queries.QUERIES if getattr(sample_queries, n, None) and "FROM part" in queries.ORACLE_SQL[n])
+ON_PARTS = sorted(n for n in queries.QUERIES if (getattr(sample_queries, n, None) or getattr(seller_queries, n, None)) and "FROM part" in queries.ORACLE_SQL[n])
 
 
 @pytest.mark.parametrize("name", ON_PARTS)
