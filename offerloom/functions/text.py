@@ -19,6 +19,8 @@ from offerloom.functions import dictionaries as d
 #: White space of the rules, and an ASCII word boundary.
 SPACE = r"\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
 BOUNDARY = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+#: The same, one by one.
+SPACE_CHARS = " \t\n\x0b\f\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 NAME_CHARS = "a-z0-9" + SPACE + "ğüşıöçâîû"
 SIZE = r"\b\d+\s*(?:ml|gr|g|oz|adet|piece)s?\b"
 CODE = r"\b([a-z]{0,2}\d{1,3}[a-z]{0,2})\b"
@@ -63,7 +65,7 @@ def erase(c: Column, rule: str, by: str = "") -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(text(c), f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text(c), F.lit(SPACE_CHARS))
 
 
 def squeezed(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions import dictionaries as d
 from offerloom.functions import prices, text
+from offerloom.operators.distinct import of_distinct
 from offerloom.operators.matching import first_image
 from offerloom.worktables import materialize
 
@@ -22,13 +23,13 @@ def master_groups(matches: DataFrame) -> DataFrame:
     variants as its shades, so what a key gathers is bounded by a product line.
     """
     name, brand = F.col("name"), F.col("brand")
-    rows = matches.withColumns({"brand_key": text.brand_key(brand), "core": text.core_name(name, brand)})
-    shade, size = text.variant_shade(name), text.variant_size(name)
+    keys = {"brand_key": text.brand_key(brand), "core": text.core_name(name, brand), "_shade": text.variant_shade(name), "_size": text.variant_size(name), "_shown": text.shown_name(name, brand)}
+    rows = of_distinct(matches, ["name", "brand"], lambda names: names.withColumns(keys))
     variant = F.struct(
         *ORDER,
-        F.when(shade == "", "Standart").otherwise(shade).alias("shade"),
-        size.alias("size"),
-        text.shown_name(name, brand).alias("name"),
+        F.when(F.col("_shade") == "", "Standart").otherwise(F.col("_shade")).alias("shade"),
+        F.col("_size").alias("size"),
+        F.col("_shown").alias("name"),
         F.col("prices"),
         first_image(F.col("imageUrl")).alias("imageUrl"),
     )

@@ -9,36 +9,46 @@ from pyspark.sql import functions as F
 
 from offerloom.functions import dictionaries as d
 from offerloom.functions import links, text
+from offerloom.operators.distinct import of_distinct
 
 
-def union_sources(offers: dict[str, DataFrame], order: tuple[str, ...] = d.SELLERS) -> DataFrame:
+def union_sources(offers: dict[str, DataFrame] | DataFrame, order: tuple[str, ...] = d.SELLERS) -> DataFrame:
     """All offers with ``site``, ``source_rank`` and ``idx``, a number that follows (source_rank, pos).
 
-    ``pos`` is an offer's place in its seller's file. ``idx`` packs both and needs
-    no sort: order is all that later steps take from it.
+    Offers come as a frame for each seller, or as one with ``site``, which is read
+    once. ``pos`` is an offer's place in its seller's file. ``idx`` packs both and needs no
+    sort: order is all that later steps take from it. Sellers that ``order`` doesn't name come last.
     """
     ranks = {s: i for i, s in enumerate(order)}
-    parts = [df.withColumns({"site": F.lit(s), "source_rank": F.lit(ranks.get(s, len(ranks) + i))}) for i, (s, df) in enumerate(offers.items())]
-    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if isinstance(offers, DataFrame):
+        known = F.create_map(*(F.lit(x) for pair in ranks.items() for x in pair))
+        every = offers.withColumn("source_rank", F.coalesce(F.element_at(known, F.col("site")), F.lit(len(ranks))))
+    else:
+        parts = [df.withColumns({"site": F.lit(s), "source_rank": F.lit(ranks.get(s, len(ranks) + i))}) for i, (s, df) in enumerate(offers.items())]
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return every.withColumn("idx", F.shiftleft(F.col("source_rank").cast("long"), 52) + F.col("pos"))
 
 
-def normalised(offers: DataFrame, barcodes: DataFrame | None = None, site: str = "Trendyol") -> DataFrame:
-    """Brand, name, category, label and barcode in normal form; ``raw_name`` keeps the name.
-
-    ``barcodes`` (id, code) overrides the barcode of an offer of ``site`` where it has one for the offer's id.
-    """
+def _normal_names(names: DataFrame) -> DataFrame:
     name = F.when(F.col("name").startswith("*"), text.strip(F.regexp_replace("name", r"^\*+", ""))).otherwise(text.text(F.col("name")))
     trimmed = text.strip(F.regexp_replace(text.strip(F.regexp_replace(name, f"^\\+\\d+[{text.SPACE}]*", "")), f"[{text.SPACE}]*\\(\\d+\\)[{text.SPACE}]*$", ""))
-    rows = offers.withColumn("raw_name", F.col("name")).withColumn("name", F.when(F.col("site") == "Gratis", trimmed).otherwise(name))
+    rows = names.withColumn("raw_name", F.col("name")).withColumn("name", F.when(F.col("_gratis"), trimmed).otherwise(name))
     blank = F.length(text.strip(F.col("brand"))) == 0
     rows = rows.withColumn("_found", F.when(blank, text.brand_in_name(F.col("name"))).otherwise(""))
     rows = rows.withColumn("name", text.name_without(F.col("name"), F.col("_found")))
     rows = rows.withColumn("brand", F.when(blank, F.when(F.col("_found") != "", F.col("_found")).otherwise(text.brand_of_line(F.col("name")))).otherwise(F.col("brand")))
     category = text.category_by_name(F.col("raw_name"), text.category_name(F.col("category")))
     rows = rows.withColumns({"brand": text.brand_shown(F.col("brand")), "category": category}).drop("_found")
-    rows = rows.withColumn("categoryLabel", text.lookup(F.col("category"), d.LABEL_OF_CATEGORY, text.category_label(F.col("categoryLabel"))))
-    rows = rows.withColumn("barcode", F.coalesce("barcode", F.lit("")))
+    return rows.withColumn("categoryLabel", text.lookup(F.col("category"), d.LABEL_OF_CATEGORY, text.category_label(F.col("categoryLabel"))))
+
+
+def normalised(offers: DataFrame, barcodes: DataFrame | None = None, site: str = "Trendyol") -> DataFrame:
+    """Brand, name, category, label and barcode in normal form; ``raw_name`` keeps the name.
+
+    ``barcodes`` (id, code) overrides the barcode of an offer of ``site`` where it has one for the offer's id.
+    """
+    flagged = offers.withColumn("_gratis", F.coalesce(F.col("site") == "Gratis", F.lit(False)))
+    rows = of_distinct(flagged, ["_gratis", "name", "brand", "category", "categoryLabel"], _normal_names).drop("_gratis").withColumn("barcode", F.coalesce("barcode", F.lit("")))
     if barcodes is None:
         return rows
     known = barcodes.filter(F.length("code") > 0).groupBy(F.col("id").cast("string").alias("_id")).agg(F.max("code").alias("_code"))
@@ -81,10 +91,19 @@ def reject_reasons(name: Column, brand: Column, price: Column, reviews: Column)
     }
 
 
+#: The rules that read more than an offer's name and brand.
+ROW_RULES = ("price_low", "reviews_high", "price_high")
+
+
 def with_reject_reason(offers: DataFrame, name: str = "name", brand: str = "brand", price: str = "price", reviews: str = "reviews") -> DataFrame:
-    """Adds ``reject_reason``: the first rule that rejects, null if none."""
-    rules = reject_reasons(F.col(name), F.col(brand), F.col(price), F.col(reviews))
-    return offers.withColumn("reject_reason", F.coalesce(*(F.when(c, F.lit(k)) for k, c in rules.items())))
+    """Adds ``reject_reason``: the first rule that rejects, null if none. Rules of names run once a distinct name and brand."""
+    of = lambda p, r: list(reject_reasons(F.col(name), F.col(brand), p, r).items())
+    first = lambda rules: F.coalesce(*(F.when(c, i) for i, c in rules))
+    named = [(i, c) for i, (k, c) in enumerate(of(F.lit(None).cast("double"), F.lit(None).cast("long"))) if k not in ROW_RULES]
+    own = [(i, c) for i, (k, c) in enumerate(of(F.col(price), F.col(reviews))) if k in ROW_RULES]
+    rows = of_distinct(offers, [name, brand], lambda names: names.withColumn("_rule", first(named)))
+    reasons = F.array(*(F.lit(k) for k, _ in of(F.col(price), F.col(reviews))))
+    return rows.withColumn("reject_reason", F.get(reasons, F.least("_rule", first(own)))).drop("_rule")
 
 
 def quality_filter(offers: DataFrame, **columns: str) -> DataFrame:

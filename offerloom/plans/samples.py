@@ -53,11 +53,11 @@ def line_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_OFFERS = "offers AS (SELECT ((l_orderkey * 16 + l_linenumber) * 20000 + l_partkey) * 1000 + l_suppkey AS idx, l_suppkey AS site, l_partkey AS part, l_extendedprice / l_quantity AS price FROM lineitem)"
 
 
-def seller_offers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Landed offers of each seller: every line as an offer of the seller that its supplier stands for."""
+def seller_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed offers of all sellers: every line as an offer of the seller (``site``) that its supplier stands for."""
     lines = line_offers(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part")), "part")
-    rows = lines.select(
-        pick(d.SELLERS, F.col("site")).alias("seller"),
+    return lines.select(
+        pick(d.SELLERS, F.col("site")).alias("site"),
         F.col("idx").alias("pos"),
         F.col("idx").cast("string").alias("id"),
         F.concat(pick(NAMES, F.col("part")), F.when(F.col("part") % 3 == 0, F.concat(F.lit(" "), F.lpad((F.col("part") % 40).cast("string"), 2, "0"))).otherwise("")).alias("name"),
@@ -71,4 +71,3 @@ def seller_offers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("idx") % 900).alias("reviews"),
         F.when(F.col("part") % 5 == 0, F.lpad((F.col("part") + 8680000000000).cast("string"), 13, "8")).otherwise("").alias("barcode"),
     )
-    return {s: rows.filter(F.col("seller") == s).drop("seller") for s in d.SELLERS}

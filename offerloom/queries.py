@@ -206,7 +206,10 @@ walk AS (
 @query(part_sql(_PAIRS + _WALK + "SELECT brand_key, cand_site, base_idx, cand_idx FROM walk WHERE cand_idx IS NOT NULL").replace("WITH", "WITH RECURSIVE", 1))
 def q07_greedy_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate a base and seller; its SQL walks over the bases one by one."""
-    return matching.assigned(_fuzzy(_named(spark, sf_dir)), ["brand_key", "cand_site"], "base_idx", "cand_idx", "sim")
+    rows = matching.materialize(_named(spark, sf_dir), "assignment-features")
+    bases, others = matching.sides(rows)
+    of = rows.select(F.col("idx").alias("cand_idx"), "brand_key", F.col("site").alias("cand_site"))
+    return matching.assignment(bases, others).join(of, "cand_idx").select("brand_key", "cand_site", "base_idx", "cand_idx")
 
 
 _USED = f"""first AS (SELECT barcode, site, min(idx) AS site_idx, arg_min(idx, (price, idx)) AS idx FROM coded GROUP BY barcode, site),
