@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -101,14 +102,66 @@ def test_limiter_equals_walk_over_events(spark):
     assert limiter.counted(table.filter("i < 0"), "key", "ts", 20, 4, "i").count() == 0
 
 
+def _hot(rng, n):
+    """One key has nearly all events: dense, sparse and equal times, and some without one."""
+    rows, at = [], 0.0
+    for i in range(n):
+        at += rng.choice([0, 0, 0.001, 0.5, 1, 7, 19, 20, 21, 45])
+        rows.append(("hot" if rng.random() < 0.9 else rng.choice(["a", None, "z"]), START + dt.timedelta(seconds=at), i))
+    rows += [("none", None, n + i) for i in range(40)] + [("none", START + dt.timedelta(seconds=i * 50), n + 100 + i) for i in range(5)]
+    rng.shuffle(rows)
+    return rows
+
+
+def _by_walk(rows, width, limit):
+    expected, state = {}, {}
+    for k, t, i in sorted(rows, key=lambda r: (r[1] is not None, r[1] or START, r[2])):
+        start, n = state.get(k, (t, 0))
+        start, n = (t, 0) if start is not None and t > start + timedelta(seconds=width) else (start, n)
+        state[k], expected[i] = (start, n + 1), (n + 1, n + 1 > limit)
+    return expected
+
+
+def test_limiter_spreads_a_hot_key(spark):
+    """Ranges of one key meet by their maps: windows within a range, over one, and over many, or one for all."""
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for seed, width in ((1, 1), (2, 20), (3, 200), (4, 10**7)):
+            rows = _hot(random.Random(seed), 700)
+            table = spark.createDataFrame(rows, "key string, ts timestamp, i long").repartition(5)
+            found = limiter.counted(table, "key", "ts", width, 4, "i")
+            assert {r.i: (r["count"], r.limited) for r in found.collect()} == _by_walk(rows, width, 4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_limiter_stream_equals_batch(spark, tmp_path):
-    rows = events(spark, [0, 10, 60, 61, 121, 122]).unionByName(events(spark, [5, 6, 400], "j"))
-    rows.select("key", "ts").write.parquet(f"{tmp_path}/in")
-    source = spark.readStream.schema("key string, ts timestamp").parquet(f"{tmp_path}/in")
-    run = limiter.stream(source, "key", "ts", 60, 5, idle=None).writeStream.trigger(availableNow=True).format("memory").queryName("limited").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").start()
-    assert run.awaitTermination(60)
-    batch = {(r.key, r.ts, r["count"], r.limited) for r in limiter.counted(rows, "key", "ts", 60, 5, "i").collect()}
-    assert {(r.key, r.ts, r["count"], r.limited) for r in spark.table("limited").collect()} == batch
+    """Events shuffled over batches, within the delay; a last event far off lets all others pass."""
+    rng = random.Random(9)
+    times = sorted(rng.randrange(0, 900) for _ in range(120))
+    rows = [(rng.choice("jk"), START + dt.timedelta(seconds=s, milliseconds=rng.randrange(1000))) for s in times]
+    late = sorted(rows, key=lambda r: r[1] + dt.timedelta(seconds=rng.randrange(50)))
+    batches = [late[i : i + 20] for i in range(0, len(late), 20)] + [[("end", START + dt.timedelta(days=9))], [("end", START + dt.timedelta(days=10))]]
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, "key string, ts timestamp").coalesce(1).write.parquet(f"{tmp_path}/{i}")
+        (tmp_path / "in").mkdir(exist_ok=True)
+        part = next((tmp_path / str(i)).glob("part-*"))
+        part.rename(tmp_path / "in" / f"{i:03d}.parquet")
+        os.utime(tmp_path / "in" / f"{i:03d}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        source = spark.readStream.schema("key string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        run = limiter.stream(source, "key", "ts", 60, 5).writeStream.trigger(availableNow=True).format("memory").queryName("limited").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").start()
+        assert run.awaitTermination(170)
+        assert not run.exception(), run.exception()
+    finally:
+        spark.conf.unset(provider)
+    table = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "key string, ts timestamp, i long")
+    batch = sorted((r.key, r.ts, r["count"], r.limited) for r in limiter.counted(table, "key", "ts", 60, 5, "i").collect())
+    assert sorted((r.key, r.ts, r["count"], r.limited) for r in spark.table("limited").filter("key != 'end'").collect()) == batch
 
 
 def test_request_order(spark):
