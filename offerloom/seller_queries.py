@@ -10,10 +10,12 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerloom import schemas
 from offerloom.operators import offers
 from offerloom.plans.samples import table
 from offerloom.queries import query
-from offerloom.sources import landed, layouts
+from offerloom.sources import arrays, landed, layouts
+from offerloom.worktables import work_path
 
 
 def filled(template: str, **columns: Column) -> Column:
@@ -187,3 +189,17 @@ def q54_api_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     detail = F.coalesce(*(F.when(F.col("part") % 6 == i, filled(t, **columns)) for i, t in enumerate(bodies)))
     other = filled('{"result":{"variants":[{"gtin":"o[[key]]"}]}}', **columns)
     return parts.select("part", landed.response_barcode(detail, other).alias("barcode"))
+
+
+@query("""
+SELECT 'k=' || (p_partkey // 500) AS file, row_number() OVER (PARTITION BY p_partkey // 500 ORDER BY p_partkey) - 1 AS pos, p_partkey::VARCHAR AS id, p_name || ' "}{' AS name, p_brand AS brand, p_retailprice AS price, '["' || p_type || '","]"]' AS image FROM part
+""")
+def q65_offer_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers of landed array files, one for each 500 parts, read by ranges; names hold braces and quotes."""
+    part, path = table(spark, sf_dir, "part"), work_path(spark, "arrays")
+    offer = F.struct(F.col("p_partkey").alias("id"), F.concat("p_name", F.lit(' "}{')).alias("name"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"), F.array(F.col("p_type"), F.lit("]")).alias("imageUrl"))
+    files = part.groupBy(F.floor(F.col("p_partkey") / 500).alias("k")).agg(F.to_json(F.array_sort(F.collect_list(offer))).alias("value"))
+    files.repartition("k").write.partitionBy("k").text(path)
+    body = F.from_json("body", schemas.OFFER)
+    found = arrays.elements(spark, f"{path}/*").select(F.regexp_extract("path", "(k=[0-9]+)", 1).alias("file"), "pos", body.alias("o"))
+    return found.select("file", "pos", "o.id", "o.name", "o.brand", "o.price", F.col("o.imageUrl").alias("image"))

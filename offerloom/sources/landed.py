@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from offerloom import schemas
 from offerloom.functions import links, prices, text
+from offerloom.sources import arrays
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -22,12 +23,14 @@ def _empty(spark: SparkSession, schema: str) -> DataFrame:
 
 
 def offer_array(spark: SparkSession, path: str, schema: str = schemas.OFFER) -> DataFrame:
-    """Rows of a JSON array with ``pos``, their place in it; none from a file that is missing, empty, no array or broken."""
+    """Rows of a JSON array with ``pos``, their place in it; none from a file that is missing, empty, no array or broken.
+
+    Files are read by ranges (``arrays.elements``), so a large one is many tasks' work.
+    """
     if not exists(spark, path):
         return _empty(spark, schema + ", pos long")
-    body = spark.read.text(path, wholetext=True)
-    rows = body.select(F.posexplode(F.from_json("value", f"array<struct<{_fields(schema)}>>", {"mode": "PERMISSIVE"})).alias("pos", "o"))
-    return rows.select("o.*", F.col("pos").cast("long").alias("pos"))
+    rows = arrays.elements(spark, path).select(F.from_json("body", f"struct<{_fields(schema)}>", {"mode": "PERMISSIVE"}).alias("o"), "pos")
+    return rows.select("o.*", "pos")
 
 
 def _fields(schema: str) -> str:

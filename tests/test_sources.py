@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from offerloom.operators import robots
-from offerloom.sources import landed, markup, sinks
+from offerloom.sources import arrays, landed, markup, sinks
 from offerloom.streaming import limiter
 
 
@@ -20,6 +20,28 @@ def test_offer_files(spark, tmp_path):
     assert [(r.name, r.price, r.pos, r.imageUrl) for r in got["A"].orderBy("pos").collect()] == [("x", 3.5, 0, '["u","v"]'), ("y", None, 1, None)]
 
 
+def test_arrays_by_any_cut(spark, tmp_path):
+    """Whatever the splits, elements are those that a parser of whole files finds: braces and quotes in strings, nested objects, long elements."""
+    rng = random.Random(4)
+    words = ["a}b", '{"', '\\"', "\\\\", "}", "[", "é漢", "x" * 50, "", "\n"]
+    made = {"a": [{"name": rng.choice(words), "v": {"k": [{"z": rng.choice(words)}], "t": rng.choice(words)}, "n": i} for i in range(9)], "empty": [], "one": [{}], "flat": [{"n": 1}, 5, "s", None, {"n": 2}]}
+    for name, rows in made.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows, indent=rng.choice([None, 1]), ensure_ascii=False))
+    whole = (tmp_path / "a.json").read_text()
+    for name, text in {"cut": whole[: len(whole) // 2], "object": '{"a":[{"n":1}]}', "none": "", "more": whole + "]", "string": whole.rstrip("]") + '"]'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    expected = sorted((name, i, json.dumps(r)) for name, rows in made.items() for i, r in enumerate(x for x in rows if isinstance(x, dict)))
+    for cut in (37, 500):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(cut))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            found = arrays.elements(spark, f"{tmp_path}/*.json").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted((r.path.split("/")[-1][:-5], r.pos, json.dumps(json.loads(r.body))) for r in found) == expected
+
+
 def test_key_maps_and_scripts(spark, tmp_path):
     (tmp_path / "m.json").write_text('{"1": "8690000000000", "2": null}')
     assert {r.key: r.value for r in landed.key_map(spark, f"{tmp_path}/m.json").collect()} == {"1": "8690000000000", "2": None}
