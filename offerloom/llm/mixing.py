@@ -150,7 +150,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float =
     one = Window.partitionBy("xk").orderBy("th1", "th2")
     rest = chosen.filter(~F.col("chosen")).withColumn("xk", key()).join(extra.select(key(), "extra"), "xk").withColumn("n", F.row_number().over(one)).filter("n = 1")
     added = materialize(rest.select(join_key("id", "th1", "th2", "sk").alias("row"), "extra"), "mix-extra")
-    chosen = chosen.withColumn("row", join_key("id", "th1", "th2", "sk")).join(added, "row", "left").withColumn("chosen", F.col("chosen") | F.coalesce("extra", F.lit(False)))
+    more = (F.col("chosen") | F.coalesce("extra", F.lit(False))) & (F.col("want") > 0)  # nothing is wanted of a source that gives whole repetitions only, empty documents neither
+    chosen = chosen.withColumn("row", join_key("id", "th1", "th2", "sk")).join(added, "row", "left").withColumn("chosen", more)
     return chosen.select("id", "th1", "th2", "source", "sk", "copies", "size", "source_size", "target", (F.col("whole") + F.col("chosen").cast("int")).alias("times"))
 
 

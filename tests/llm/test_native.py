@@ -202,3 +202,13 @@ def test_digest_of_dropped(spark):
     docs = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
     row = line_dedup.dedup_lines(docs).select(F.sha2("text", 256).alias("d")).first()
     assert row.d == hashlib.sha256(b"a\nb").hexdigest()
+
+
+def test_mixing_of_empty_documents_in_a_clamped_source(spark):
+    """A source that gives all that it may gives its empty documents no more often than the others; sizes that tie are taken once each."""
+    rows = [(i, "", "a") for i in range(5)] + [(10 + i, "w w", "a") for i in range(4)] + [(20 + i, "x " * 500, "b") for i in range(20)] + [(90, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {r.id: r for r in mixing.mixed(docs).collect()}
+    assert plan[10].target == 2 * plan[10].source_size and {plan[i].times for i in [*range(5), *range(10, 14), 90]} == {2}
+    assert max(r.times for r in plan.values()) <= 2
+    assert mixing.mix(docs).filter("source = 'a'").count() == 20
