@@ -15,3 +15,7 @@ DETAIL_PAGE = (
 )
 ITEM_LIST = "`@type` string, itemListElement array<struct<item:struct<name:string,image:string,url:string,offers:struct<price:double,lowPrice:double>>,name:string,image:string,url:string,offers:struct<price:double,lowPrice:double>>>"
 VARIANTS = "name string, hasVariant array<struct<name:string,url:string,image:string,offers:struct<price:double>>>"
+PRODUCT_LIST = (
+    "components struct<`product-list`:struct<pagination:struct<totalPages:int>,products:array<struct<code:string,name:string,url:string,price:struct<value:double>,picture:struct<url:string>,"
+    "averageRating:double,numberOfReviews:long,purchasable:boolean>>>>"
+)

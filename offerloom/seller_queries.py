@@ -7,15 +7,15 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerloom import schemas
 from offerloom.operators import offers
 from offerloom.plans.samples import table
 from offerloom.queries import query
-from offerloom.sources import arrays, landed, layouts
-from offerloom.worktables import work_path
+from offerloom.sources import arrays, landed, layouts, paging
+from offerloom.worktables import materialize, work_path
 
 
 def filled(template: str, **columns: Column) -> Column:
@@ -203,3 +203,65 @@ def q65_offer_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.from_json("body", schemas.OFFER)
     found = arrays.elements(spark, f"{path}/*").select(F.regexp_extract("path", "(k=[0-9]+)", 1).alias("file"), "pos", body.alias("o"))
     return found.select("file", "pos", "o.id", "o.name", "o.brand", "o.price", F.col("o.imageUrl").alias("image"))
+
+
+#: Parts by brand in pages of five, as a search API lands them: by a rule, some pages lack and some are empty.
+_SQL_PAGES = """
+n AS (SELECT p_brand AS brand, p_partkey, p_retailprice, regexp_extract(p_brand, '([0-9]+)$', 1)::BIGINT AS turn, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS n, count(*) OVER (PARTITION BY p_brand) AS total FROM part),
+p AS (SELECT brand, n // 5 * 5 AS pos, n // 5 + turn AS k, total, count(*) AS held, sum(p_retailprice) AS price FROM n GROUP BY ALL),
+l AS (SELECT brand, pos, k % 17 = 9 AS empty, total, CASE WHEN k % 17 = 9 THEN 0 ELSE held END AS held, price FROM p WHERE k % 23 <> 6)"""
+
+
+def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_brand = Window.partitionBy("p_brand")
+    turn = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("long")
+    parts = table(spark, sf_dir, "part").withColumns({"n": F.row_number().over(by_brand.orderBy("p_partkey")) - 1, "total": F.count("*").over(by_brand), "turn": turn})
+    source = F.struct(F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"), F.concat(F.lit("k"), "p_partkey").alias("url_key"))
+    k = F.floor(F.col("n") / 5)
+    pages = parts.withColumns({"at": k * 5, "k": k + F.col("turn")}).groupBy("p_brand", "at", "k", "total").agg(F.collect_list(F.struct(source.alias("_source"))).alias("hits"))
+    hits = F.struct(F.struct(F.col("total").alias("value")).alias("total"), F.when(F.col("k") % 17 == 9, F.slice("hits", 1, 0)).otherwise(F.col("hits")).alias("hits"))
+    return pages.filter("k % 23 <> 6").select(F.col("p_brand").alias("brand"), "at", F.to_json(F.struct(F.struct(hits.alias("hits")).alias("product"))).alias("body"))
+
+
+@query(f"""
+WITH {_SQL_PAGES},
+lost AS (SELECT brand, pos, pos + p.held AS upto, pos // 5 - row_number() OVER (PARTITION BY brand ORDER BY pos) AS island FROM p WHERE (brand, pos) NOT IN (SELECT brand, pos FROM l WHERE NOT empty)),
+ranges AS (SELECT brand, min(pos) AS lo, max(upto) AS hi FROM lost GROUP BY brand, island),
+m AS (SELECT brand, string_agg(lo || '-' || hi, ',' ORDER BY lo) AS missing, sum(hi - lo) AS n FROM ranges GROUP BY brand),
+stop AS (SELECT brand, min(pos) AS pos FROM lost GROUP BY brand),
+w AS (SELECT l.brand, count(*) AS n_walked, sum(held) AS n_offers, sum(price) AS price FROM l LEFT JOIN stop s ON l.brand = s.brand WHERE s.pos IS NULL OR l.pos < s.pos GROUP BY l.brand)
+SELECT brand, n_pages, n_held, total, coalesce(n, 0)::BIGINT AS n_missing, n IS NULL AS complete, coalesce(missing, '') AS missing, coalesce(n_walked, 0)::BIGINT AS n_walked, coalesce(n_offers, 0)::BIGINT AS n_offers, round(coalesce(price, 0), 2) AS price
+FROM (SELECT brand, count(*) AS n_pages, sum(held)::BIGINT AS n_held, max(total) AS total FROM l GROUP BY brand) LEFT JOIN m USING (brand) LEFT JOIN w USING (brand)
+""")
+def q66_paged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of each brand: what they state in total, the ranges that none holds, and what a walk from the first page reads."""
+    pages = materialize(_landed_pages(spark, sf_dir), "landed-pages").withColumns({"total": landed.search_total(F.col("body")), "held": landed.search_held(F.col("body"))})
+    of = ("brand", "at", "held", "total")
+    each = F.struct(F.col("from"), F.concat_ws("-", "from", "to").alias("r"))
+    missing = paging.gaps(pages, *of).groupBy("brand").agg(F.array_join(F.array_sort(F.collect_list(each))["r"], ",").alias("missing"))
+    reached = paging.walked(pages, *of, step=5)
+    offers_of = landed.search_pages(reached.select(F.col("brand").alias("b"), F.col("at").alias("page"), "body"))
+    walk = offers_of.groupBy("b", "page").agg(F.count("*").alias("n"), F.sum("price").alias("price")).groupBy("b").agg(F.count("*").alias("n_walked"), F.sum("n").alias("n_offers"), F.sum("price").alias("price"))
+    status = paging.complete(pages, *of).join(missing, "brand", "left")
+    filled = status.join(walk, F.col("brand") == F.col("b"), "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return filled.select("brand", "n_pages", "n_held", "total", "n_missing", "complete", F.coalesce("missing", F.lit("")).alias("missing"), zero("n_walked"), zero("n_offers"), F.round(F.coalesce("price", F.lit(0.0)), 2).alias("price"))
+
+
+@query("""
+SELECT p_partkey AS part, i AS place, 'c' || p_partkey AS code, p_name || ' };</script>' AS name, p_retailprice AS price, CASE WHEN p_partkey % 3 = 0 THEN 'http://x/' || p_partkey ELSE 'https://i/' || p_partkey END AS "imageUrl", 'https://s/' || p_partkey AS "productUrl", (1 + p_size % 4)::INT AS n_pages
+FROM part, (VALUES (0::INT), (3::INT)) t(i) WHERE p_partkey % 5 > 0 AND (i = 0 OR p_partkey % 2 = 0)
+""")
+def q67_page_state_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of the lists that pages' scripts hold; strings hold ends of scripts, and other objects follow. Some pages have none."""
+    key = F.col("p_partkey").cast("string")
+    picture = F.concat(F.when(key.cast("long") % 3 == 0, F.concat(F.lit("http://x/"), key)).otherwise(F.concat(F.lit("/"), key)), F.lit("?w=2"))
+    product = lambda can, price, url: F.struct(F.concat(F.lit("c"), key).alias("code"), F.concat(F.lit(" "), "p_name", F.lit(" };</script>")).alias("name"), url.alias("url"), F.struct(price.alias("value")).alias("price"), F.struct(picture.alias("url")).alias("picture"), can.alias("purchasable"))
+    some, url, price = F.lit(True), F.concat(F.lit("/"), key), F.col("p_retailprice")
+    products = F.array(product(some, price, url), product(F.lit(False), price, url), product(some, F.lit(0.0), url), product(F.lit(None).cast("boolean"), price, F.when(key.cast("long") % 2 == 0, url)))
+    listed = F.struct(F.struct(F.struct((F.col("p_size") % 4 + 1).alias("totalPages")).alias("pagination"), products.alias("products")).alias("product-list"))
+    script = F.concat(F.lit("<script>window.data = "), F.to_json(F.struct(listed.alias("components"))), F.lit(';var more = {"components": {}};</script><b>}</b>'))
+    html = F.when(F.col("p_partkey") % 5 > 0, script).otherwise("<p>window.data</p>")
+    pages = landed.state_pages(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), html.alias("html")), "window[.]data")
+    offers_of = landed.state_products(pages.withColumn("pages", F.col("n_pages")).drop("html"), "https://i", "https://s")
+    return offers_of.select("part", "place", "code", "name", "price", "imageUrl", "productUrl", F.col("pages").alias("n_pages"))

@@ -68,6 +68,11 @@ def search_total(body: Column) -> Column:
     return F.get_json_object(body, "$.product.hits.total.value").cast("long")
 
 
+def search_held(body: Column) -> Column:
+    """How many products a search page holds; 0 for a body that can't be read."""
+    return F.coalesce(F.json_array_length(F.get_json_object(body, "$.product.hits.hits")), F.lit(0)).cast("long")
+
+
 def detail_pages(bodies: DataFrame, body: str = "body") -> DataFrame:
     """Offers of product-detail API bodies: attributes by key, the last non-empty value; prices in hundredths.
 
@@ -101,11 +106,45 @@ def sitemap(bodies: DataFrame, categories: dict[str, str] | None = None, body: s
 
 
 def page_state(pages: DataFrame, variable: str, schema: str, html: str = "html") -> DataFrame:
-    """``state``: a JSON object that a page's script assigns to ``variable``."""
-    raw = F.regexp_extract(html, f"(?s){variable}\\s*=\\s*(\\{{.*?\\}})\\s*;?\\s*</script>", 1)
+    """``state``: the JSON object that a page's script assigns to ``variable``, which is a pattern; null without one.
+
+    The parser stops where the object ends, so what follows it doesn't matter, and
+    ``};</script>`` within a string doesn't end it. Of an object that is cut off, or
+    isn't JSON, all fields that couldn't be read are null.
+    """
+    raw = F.regexp_extract(html, f"(?s){variable}\\s*=\\s*(\\{{.*)", 1)
     return pages.withColumn("state", F.from_json(F.when(raw != "", raw), schema))
 
 
+def state_pages(pages: DataFrame, variable: str, html: str = "html") -> DataFrame:
+    """``n_pages`` and ``products`` of the product list in a page's state; one page where it states no number, null without a list."""
+    listed = F.col("state.components")["product-list"]
+    found = page_state(pages, variable, schemas.PRODUCT_LIST, html)
+    n_pages = F.when(listed.isNotNull(), F.coalesce(F.nullif(listed["pagination"]["totalPages"], F.lit(0)), F.lit(1)))
+    return found.withColumns({"n_pages": n_pages, "products": F.when(listed.isNotNull(), F.coalesce(listed["products"], F.array()))}).drop("state")
+
+
+def state_products(listed: DataFrame, image_base: str, page_base: str) -> DataFrame:
+    """Offers of ``state_pages``, whose other columns they keep: products that can be bought, with a name, an address and a price above 0."""
+    keep = [c for c in listed.columns if c not in ("products", "n_pages")]
+    p = lambda c: F.col(f"_p.{c}")
+    based = lambda url, base: F.when(url == "", "").when(url.startswith("http"), url).otherwise(F.concat(F.lit(base), url))
+    text_of = lambda c: F.coalesce(c, F.lit(""))
+    rows = listed.select(*keep, F.posexplode("products").alias("place", "_p")).select(
+        *keep,
+        "place",
+        text_of(p("code")).alias("code"),
+        text.strip(text_of(p("name"))).alias("name"),
+        F.coalesce(p("price.value"), F.lit(0.0)).alias("price"),
+        based(F.substring_index(text_of(p("picture.url")), "?", 1), image_base).alias("imageUrl"),
+        based(text_of(p("url")), page_base).alias("productUrl"),
+        F.coalesce(p("averageRating"), F.lit(0.0)).alias("rating"),
+        F.coalesce(p("numberOfReviews"), F.lit(0)).alias("reviews"),
+        F.coalesce(p("purchasable"), F.lit(True)).alias("_can"),
+    )
+    return rows.filter("_can AND name <> '' AND price > 0 AND productUrl <> ''").drop("_can")
+
+
 def inline_barcode(html: Column) -> Column:
     return F.regexp_extract(text.text(html), '"barcode":"?(\\d{8,14})"?', 1)
 
