@@ -14,7 +14,7 @@ from offerloom import schemas
 from offerloom.operators import offers
 from offerloom.plans.samples import table
 from offerloom.queries import query
-from offerloom.sources import arrays, landed, layouts, paging
+from offerloom.sources import arrays, landed, layouts, paging, sinks, versions
 from offerloom.worktables import materialize, work_path
 
 
@@ -265,3 +265,41 @@ def q67_page_state_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = landed.state_pages(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), html.alias("html")), "window[.]data")
     offers_of = landed.state_products(pages.withColumn("pages", F.col("n_pages")).drop("html"), "https://i", "https://s")
     return offers_of.select("part", "place", "code", "name", "price", "imageUrl", "productUrl", F.col("pages").alias("n_pages"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS id, p_name || ' // ' || p_type AS name, (p_partkey % 4)::INT AS n_prices, CASE WHEN p_size % 3 = 0 THEN 'Nude,' || p_brand ELSE '' END AS shades FROM part),
+h AS (SELECT count(*) AS n, count(*) FILTER (WHERE n_prices > 1) AS multi FROM p)
+SELECT id, name, n_prices, shades FROM p
+UNION ALL SELECT -1, '// Parts — ' || n || ' urun, ' || (SELECT count(*) FROM nation WHERE n_nationkey > 0) || ' satici', 0, '' FROM h
+UNION ALL SELECT -2, '// Otomatik uretildi: 01.02.2026', 0, '' FROM h
+UNION ALL SELECT -3, '// Coklu fiyat: ' || multi || ' urunde birden fazla satici', 0, '' FROM h
+""")
+def q68_script_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published script, read back, filled with shades and written in its own place: the comment lines above it stay."""
+    path, key = work_path(spark, "script"), F.col("p_partkey")
+    part = table(spark, sf_dir, "part")
+    price = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.struct(F.concat(F.lit("s"), i).alias("site"), F.col("p_retailprice").alias("price")))
+    products = part.select(key.alias("id"), F.concat("p_name", F.lit(" // "), "p_type").alias("name"), F.slice(price, F.lit(1), (key % 4).cast("int")).alias("prices"))
+    sellers = table(spark, sf_dir, "nation").select(F.col("n_name").alias("site"), F.col("n_nationkey").cast("long").alias("n"))
+    sinks.publish_script(products, path, ["id"], sinks.script_header(sinks.summary(products, sellers), "Parts", "01.02.2026"))
+    schema = "id long, name string, prices array<struct<site:string,price:double>>, shadeOptions array<string>"
+    shades = part.select(key.alias("part"), F.when(F.col("p_size") % 3 == 0, F.array(F.lit("Nude"), F.col("p_brand"))).alias("found"))
+    now = sinks.script_rows(spark, path, schema)
+    sinks.publish_script(now.join(shades, F.col("id") == F.col("part"), "left").select("id", "name", "prices", F.coalesce("found", "shadeOptions").alias("shadeOptions")), path, ["id"])
+    text = versions.read(spark, path, "value string").filter(F.col("value").startswith("//"))
+    number = F.when(F.col("value").contains("satici") & F.col("value").contains("Parts"), -1).when(F.col("value").contains("Otomatik"), -2).otherwise(-3)
+    rows = sinks.script_rows(spark, path, schema).select("id", "name", F.size("prices").alias("n_prices"), F.coalesce(F.array_join("shadeOptions", ","), F.lit("")).alias("shades"))
+    return rows.union(text.select(number.cast("long"), F.col("value"), F.lit(0), F.lit("")))
+
+
+@query("SELECT event_id, event_type FROM events")
+def q69_batches_added_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checkpoint table that gets its batches by two writers, some of them again, after a snapshot that nothing replaced."""
+    path, events = work_path(spark, "batches"), table(spark, sf_dir, "events").select("event_id", "event_type")
+    turn = F.pmod(F.xxhash64("event_id"), F.lit(5))
+    versions.replace(events.filter(turn == 0), path)
+    versions.replace(events.limit(0), path, unless_empty=True)
+    for writer, batch, of in (("a", 0, 1), ("a", 1, 2), ("b", 0, 3), ("a", 1, 2), ("a", 0, 1), ("b", 0, 3), ("b", 1, 4)):
+        versions.append(events.filter(turn == of), path, writer, batch)
+    return versions.read(spark, path, "event_id long, event_type string")

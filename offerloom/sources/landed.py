@@ -57,6 +57,12 @@ def script_array(spark: SparkSession, path: str, schema: str, name: str = "produ
     return rows.select("o.*", "pos")
 
 
+def script_header(spark: SparkSession, path: str) -> list[str]:
+    """The comment lines that one script file begins with."""
+    found = spark.read.text(path, wholetext=True).select(F.regexp_extract("value", "^((?://[^\\n]*\\n)*+)", 1).alias("h")).first()
+    return found.h.split("\n")[:-1] if found else []
+
+
 def search_pages(bodies: DataFrame, body: str = "body") -> DataFrame:
     """Offers of search API pages, with the least positive of their four prices."""
     hit = bodies.select(*(c for c in bodies.columns if c != body), F.explode(F.from_json(body, schemas.SEARCH_PAGE)["product"]["hits"]["hits"]["_source"]).alias("h"))
