@@ -137,11 +137,42 @@ def substitute_links(products: DataFrame, rules: DataFrame, strict: bool = True)
     Brands are compared as shown, in upper case, so accented ones never match;
     with ``strict=False`` they are compared by their keys.
     """
+    classes = materialize(substitute_classes(products, rules, strict), "substitutes")
+    return expanded_links(classes)
+
+
+def substitute_classes(products: DataFrame, rules: DataFrame, strict: bool = True) -> DataFrame:
+    """(rule, side, id): the products that a rule finds for either side, ``high`` and ``dupe``, once each.
+
+    What all links amount to in linear size: every high of a rule is linked with every
+    dupe of it. Rules are numbered by their content; null brands and names fit none. How rules meet products is
+    Spark's choice, by the size of their table.
+    """
     brand = F.upper("brand") if strict else text.brand_key(F.col("brand"))
-    rows = products.select("id", brand.alias("b"), F.lower("name").alias("n"))
-    numbered_rules = F.broadcast(rules.withColumn("rule", F.xxhash64(*rules.columns)))
-    side = lambda s: rows.join(numbered_rules, (F.col("b") == F.col(f"{s}_brand")) & F.col("n").contains(F.col(f"{s}_part"))).select("rule", F.col("id").alias(f"{s}_id"))
-    return side("high").join(side("dupe"), "rule").select("high_id", "dupe_id").distinct()
+    sides = ("high", "dupe")
+    keyed = rules.distinct().select(F.xxhash64(*rules.columns).alias("rule"), F.posexplode(F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"{s}_brand").alias("b"), F.col(f"{s}_part").alias("part")) for s in sides))).alias("_i", "_s"))
+    keyed = keyed.select("rule", "_s.side", F.col("_s.b").alias("_rb"), F.col("_s.part").alias("_part"))
+    rows = products.select("id", brand.alias("_b"), F.lower("name").alias("_n"))
+    return rows.join(keyed, (F.col("_b") == F.col("_rb")) & F.col("_n").contains(F.col("_part"))).select("rule", "side", "id").distinct()
+
+
+def substitute_counts(classes: DataFrame) -> DataFrame:
+    """(rule, n_high, n_dupe, n_links) of ``substitute_classes``: how many links a rule stands for, before any is made."""
+    n = lambda s: F.count_if(F.col("side") == s)
+    return classes.groupBy("rule").agg(n("high").alias("n_high"), n("dupe").alias("n_dupe"), (n("high") * n("dupe")).alias("n_links"))
+
+
+def expanded_links(classes: DataFrame, parts: int | None = None) -> DataFrame:
+    """(high_id, dupe_id) of ``substitute_classes``, each link once.
+
+    A rule's highs are dealt to ``parts`` tasks (the session's shuffle partitions), each of which
+    sees the rule's dupes, so that a rule with most products is not one task's. Links that several rules make meet at the end.
+    """
+    parts = parts or int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    high = classes.filter("side = 'high'").select("rule", deal.alias("_deal"), F.col("id").alias("high_id"))
+    dupe = classes.filter("side = 'dupe'").select("rule", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_deal"), F.col("id").alias("dupe_id"))
+    return high.join(dupe, ["rule", "_deal"]).select("high_id", "dupe_id").distinct()
 
 
 def with_substitutes(products: DataFrame, links: DataFrame) -> DataFrame:

@@ -33,13 +33,28 @@ def path_matches(path: Column, pattern: Column) -> Column:
     return F.when(pattern == "/", True).when(pattern.contains("*"), F.rlike(path, wild)).otherwise(path.startswith(pattern))
 
 
-def decisions(paths: DataFrame, rules: DataFrame, key: str, path: str = "path") -> DataFrame:
-    """Adds ``allowed`` to ``paths`` by a rule table (kind, pattern) of one agent, a broadcast of a few rows.
+#: Rules that are held against every path, as a broadcast; more are met by their heads.
+MAX_RULES = 1000
 
-    The longest pattern that fits wins, disallow on a tie; none fits: allowed.
+
+def decisions(paths: DataFrame, rules: DataFrame, key: str, path: str = "path", max_rules: int = MAX_RULES) -> DataFrame:
+    """Adds ``allowed`` to ``paths`` by a rule table (kind, pattern) of one agent.
+
+    The longest pattern that fits wins, disallow on a tie; none fits: allowed; a null path fits ``/`` only. Up to
+    ``max_rules`` rules are broadcast. Of more, a path meets those whose head it begins with, a prefix rule's
+    pattern or what a pattern with ``*`` begins with for sure: its beginnings of all lengths that heads have are joined with the heads.
     """
-    few = F.broadcast(rules.filter(F.col("kind").isin("allow", "disallow")).select("kind", "pattern"))
-    hits = paths.select(key, F.col(path).alias("_p")).join(few, path_matches(F.col("_p"), F.col("pattern")))
+    few = rules.filter(F.col("kind").isin("allow", "disallow")).select("kind", "pattern").distinct()
+    asked = paths.select(key, F.col(path).alias("_p"))
+    if few.limit(max_rules + 1).count() <= max_rules:
+        hits = asked.join(F.broadcast(few), path_matches(F.col("_p"), F.col("pattern")))
+    else:
+        sure = F.when(F.col("pattern").contains("|"), "").otherwise(F.regexp_extract("pattern", "^([A-Za-z0-9/_-]*)(?![?+{])", 1))
+        heads = few.withColumn("_head", F.when(F.col("pattern") == "/", "").when(F.col("pattern").contains("*"), sure).otherwise(F.col("pattern")))
+        lengths = heads.agg(F.collect_set(F.length("_head")).alias("_lengths"))  # one row, of as many numbers as the longest head has characters
+        begun = asked.join(F.broadcast(lengths)).select(key, "_p", F.explode(F.filter("_lengths", lambda n: n <= F.length(F.coalesce("_p", F.lit(""))))).alias("_n"))
+        begun = begun.withColumn("_start", F.expr("substring(coalesce(_p, ''), 1, _n)"))
+        hits = begun.join(heads, (F.col("_start") == F.col("_head")) & path_matches(F.col("_p"), F.col("pattern")))
     best = hits.groupBy(key).agg(F.max(F.struct(F.length("pattern").alias("n"), (F.col("kind") == "disallow").alias("no"))).alias("b"))
     return paths.join(best, key, "left").withColumn("allowed", ~F.coalesce(F.col("b.no"), F.lit(False))).drop("b")
 

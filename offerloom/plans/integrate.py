@@ -16,7 +16,7 @@ def variants_of_sellers(clean: DataFrame) -> DataFrame:
     name, brand = F.col("name"), F.col("brand")
     keys = {"_brand": text.brand_key(brand), "_core": text.core_name(name, brand), "_shade": text.variant_shade(name), "_size": text.variant_size(name)}
     keyed = of_distinct(clean, ["name", "brand"], lambda names: names.withColumns(keys))
-    return matching.variant_groups(keyed, ["site", "_brand", "category", "_core", "_shade", "_size"]).drop("_brand", "_core", "_shade", "_size")
+    return matching.variant_groups(keyed, ["site", "_brand", "category", "_core", "_shade", "_size"], nested=False).drop("_brand", "_core", "_shade", "_size")
 
 
 def clean_offers(sellers: dict[str, DataFrame] | DataFrame, barcodes: DataFrame | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerloom.functions import dictionaries as d
@@ -71,6 +71,17 @@ def q02_variant_group_rep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("site", "part", F.col("idx").alias("first_idx"), "variant_count", F.col("name").cast("long").alias("rep_idx"), cents(F.col("min_price")).alias("min_price"), cents(F.col("max_price")).alias("max_price"), F.array_join("variants.name", ",").alias("variants"))
 
 
+@query(f"""
+WITH {LINE_OFFERS}
+SELECT first_value(idx) OVER (PARTITION BY site, part ORDER BY idx) AS group_idx, idx, row_number() OVER (PARTITION BY site, part ORDER BY price, idx) AS place, {CENTS.format("price")} AS price FROM offers
+""")
+def q70_variant_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All offers of a seller's product as rows, in the order in which they would be nested."""
+    rows = line_offers(spark, sf_dir).withColumns({"name": F.col("idx").cast("string"), "productUrl": F.lit("")})
+    place = F.row_number().over(Window.partitionBy("group_idx").orderBy("order", "idx")).cast("long")
+    return matching.variant_members(rows, ["site", "part"]).select("group_idx", "idx", place.alias("place"), cents(F.col("price")).alias("price"))
+
+
 def _master_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct(F.col("part").cast("string").alias("site"), F.col("price").alias("price"), F.lit("").alias("url"), F.lit(1).alias("variantCount"), F.lit("").alias("imageUrl"))
     rows = named_parts(spark, sf_dir).withColumns({"tier": F.lit(0), "tier_key": F.col("part"), "idx": F.col("part"), "imageUrl": F.lit(""), "prices": F.array(entry)})
@@ -422,6 +433,19 @@ def q24_dupe_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masters.substitute_links(products, rules)
 
 
+@query("""
+WITH r(rule, hb, hp, db, dp) AS (VALUES ('red', 'BRAND#2', 'red', 'BRAND#4', 'blue'), ('ring', 'BRAND#17', 'ring', 'BRAND#3', 'bolt'), ('', 'BRAND#5', '', 'BRAND#5', 'o')),
+p AS (SELECT p_partkey AS id, upper(p_brand) AS b, lower(p_name) AS n FROM part),
+s AS (SELECT rule, (SELECT count(*) FROM p WHERE b = hb AND contains(n, hp)) AS n_high, (SELECT count(*) FROM p WHERE b = db AND contains(n, dp)) AS n_dupe FROM r)
+SELECT n_high, n_dupe, n_high * n_dupe AS n_links FROM s WHERE n_high + n_dupe > 0
+""")
+def q71_substitute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many products the rules find for either side, and how many links that is, without making them."""
+    rules = spark.createDataFrame([("BRAND#2", "red", "BRAND#4", "blue"), ("BRAND#17", "ring", "BRAND#3", "bolt"), ("BRAND#5", "", "BRAND#5", "o")], "high_brand string, high_part string, dupe_brand string, dupe_part string")
+    products = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), F.col("p_name").alias("name"))
+    return masters.substitute_counts(masters.substitute_classes(products, rules)).drop("rule")
+
+
 _IMAGE = "CASE WHEN {0} % 4 = 0 THEN 'data:image/x' WHEN {0} % 4 = 1 THEN '' ELSE 'http://img/' || {0} END"
 
 
