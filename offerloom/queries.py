@@ -672,6 +672,45 @@ def q39_integrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.select("id", "brand", "name", "category", F.size("variants").alias("n_variants"), "priceCount", F.col("prices")[0]["price"].alias("first_price"), "imageUrl", F.size("dupeFor").alias("n_dupe_for"))
 
 
+_KINDS = (*d.SKIN_TYPES, "ruj")
+
+
+@query(f"""
+WITH {NAMED_PARTS},
+m AS (
+  SELECT part, part % 3 AS tier, name, brand AS own, trim(brand) AS given, {sql_pick(_KINDS, "part")} AS kind, CASE WHEN part % 4 = 0 THEN 0.0 ELSE 3 + (part % 21) / 10.0 + 0.04 END AS rating, CASE WHEN part % 5 = 0 THEN 0 ELSE part % 700 END AS reviews,
+         CASE WHEN part % 3 = 0 THEN 0.0 ELSE price * (part % 7) + 0.004 END AS p1 FROM parts)
+SELECT row_number() OVER (ORDER BY tier, part) AS id, CASE WHEN given = '' THEN own ELSE {q.lookup("(" + q.brand_key("own") + ")", d.BRAND_DISPLAY, "own")} END AS brand,
+       trim(left(trim(CASE WHEN own = '' THEN {q.erase("name", chr(92) + "s+", " ")} ELSE regexp_replace({q.erase("name", chr(92) + "s+", " ")}, '(?i)' || regexp_escape(own), '', 'g') END), 80)) AS name,
+       kind AS category, 'L ' || kind AS "categoryLabel", array_to_string(coalesce(MAP {{{", ".join(f"{q.lit(k)}: {sql_list(v)}" for k, v in d.SKIN_TYPES.items())}}}[kind], ['normal']), ',') AS "skinType",
+       CASE part % 3 WHEN 0 THEN '' WHEN 1 THEN 's1' ELSE 's1,s2' END AS shades, CASE WHEN part % 3 > 0 THEN floor(p1 * 100 + 0.5) / 100 END AS "firstPrice", (part % 3)::INT AS "priceCount",
+       CASE WHEN rating > 0 THEN floor(rating * 10 + 0.5) / 10 END AS rating, CASE WHEN reviews > 0 THEN reviews END AS reviews, TRUE AS drawn, CASE WHEN rating > 0 AND reviews > 0 THEN (rating >= 4.6 AND reviews >= 100) OR (rating >= 4.4 AND reviews >= 500) OR (rating >= 4.8 AND reviews >= 30) END AS trending,
+       'http://img/' || part AS "imageUrl", 'http://shop/' || part AS "productUrl", CASE WHEN part % 2 = 0 THEN 'd' || part ELSE '' END AS "desc", part % 2 = 0 AS vegan, coalesce(CASE WHEN part % 6 < 4 THEN part % 6 = 1 END, FALSE) AS "crueltyFree",
+       FALSE AS spf, 0 AS "ingredients", 0 AS "ingredientWarnings", CASE WHEN part % 10 = 0 THEN 'unknown' ELSE 'gratis' END AS source, '05.03.26' AS "lastUpdated"
+FROM m
+""")
+def q72_published_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of published products; ratings and reviews that are drawn must lie within their price's band."""
+    key, price = F.col("part"), F.when(F.col("part") % 3 == 0, 0.0).otherwise(F.col("price") * (F.col("part") % 7) + 0.004)
+    entry = lambda site, p: F.struct(F.lit(site).alias("site"), p.alias("price"), F.lit("u").alias("url"), F.lit(1).alias("variantCount"), F.lit("").alias("imageUrl"))
+    entries = F.slice(F.array(entry("x", price), entry("y", price * 2)), F.lit(1), (key % 3).cast("int"))
+    variant = lambda shade: F.struct(F.lit(shade).alias("shade"), F.lit("").alias("size"), F.col("name").alias("name"), entries.alias("prices"), F.lit("").alias("imageUrl"))
+    made = named_parts(spark, sf_dir).withColumns({
+        "tier": key % 3, "tier_key": key, "idx": key, "category": pick(_KINDS, key), "categoryLabel": F.concat(F.lit("L "), pick(_KINDS, key)), "prices": entries, "variants": F.slice(F.array(variant("s1"), variant("s2")), F.lit(1), (key % 3).cast("int")),
+        "rating": F.when(key % 4 == 0, 0.0).otherwise(3 + (key % 21) / 10.0 + 0.04), "reviews": F.when(key % 5 == 0, 0).otherwise(key % 700), "imageUrl": F.concat(F.lit("http://img/"), key), "productUrl": F.concat(F.lit("http://shop/"), key),
+        "site": F.when(key % 10 > 0, "Gratis"), "desc": F.when(key % 2 == 0, F.concat(F.lit("d"), key)), "vegan": key % 2 == 0, "crueltyFree": F.when(key % 6 < 4, key % 6 == 1),
+    })
+    shown = masters.final_products(made, F.lit("2026-03-05").cast("date")).withColumn("part", F.regexp_extract("productUrl", "([0-9]+)$", 1).cast("long"))
+    p1, known_rating, known_reviews = F.coalesce(F.get("prices", F.lit(0))["price"], F.lit(0.0)), F.col("part") % 4 != 0, (F.col("part") % 5 != 0) & (F.col("part") % 700 > 0)
+    band = lambda c, high, mid, low: F.when(p1 > 3000, c.between(*high)).when(p1 > 1500, c.between(*mid)).otherwise(c.between(*low))
+    drawn = (known_rating | band(F.col("rating"), (4.5, 4.9), (4.2, 4.7), (3.8, 4.5))) & (known_reviews | band(F.col("reviews"), (50, 550), (100, 1100), (200, 3200)))
+    return shown.select(
+        "id", "brand", "name", "category", "categoryLabel", F.array_join("skinType", ",").alias("skinType"), F.array_join("variants.shade", ",").alias("shades"), F.get("prices", F.lit(0))["price"].alias("firstPrice"), "priceCount",
+        F.when(known_rating, F.col("rating")).alias("rating"), F.when(known_reviews, F.col("reviews")).alias("reviews"), drawn.alias("drawn"), F.when(known_rating & known_reviews, F.col("trending")).alias("trending"),
+        "imageUrl", "productUrl", "desc", "vegan", "crueltyFree", "spf", F.size("ingredients").alias("ingredients"), F.size("ingredientWarnings").alias("ingredientWarnings"), "source", "lastUpdated",
+    )
+
+
 @query(f"""
 WITH {_CLEAN},
 variants AS (SELECT count(*) AS n FROM keyed GROUP BY site, bk, category, core, shade, size)
