@@ -60,6 +60,18 @@ def test_classes_against_all_pairs(spark, monkeypatch, tile, tile_bytes, deviati
     assert {r.id: r.class_id for r in got} == brute(rows) and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("sign_bytes", [1, 3000])
+def test_long_texts_and_small_batches(spark, monkeypatch, sign_bytes):
+    """Signatures don't depend on how many texts are signed at once; texts far longer than that are taken whole."""
+    monkeypatch.setattr(near_dups, "SIGN_BYTES", sign_bytes)
+    rng = random.Random(8)
+    long = [f"v{rng.randrange(5000)}" for _ in range(30_000)]
+    late = [*long[:29_000], *(f"u{i}" for i in range(9_000))]  # the beginnings are equal, the texts are not
+    rows = [*corpus(rng)[:60], (9000, " ".join(long)), (9001, " ".join([*long[:-900], "end"])), (9002, " ".join(late)), (9003, " ".join(long[:22_000]))]
+    got = near_dups.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.id: r.class_id for r in got} == brute(rows)
+
+
 def test_texts_that_collide_in_64_bits(spark, monkeypatch):
     """All texts have the same first fingerprint; only the second one tells them apart."""
     whole = words.fingerprint

@@ -45,6 +45,17 @@ def test_against_brute_force(spark, monkeypatch, hot, length):
     assert got == brute(rows, length)
 
 
+@pytest.mark.parametrize("part,length", [(1, 40), (33, 17), (1000, 17)])
+def test_texts_in_parts(spark, monkeypatch, part, length):
+    """Texts longer than a part are cut into parts that overlap: repeats over a cut, at one, and all of a text."""
+    monkeypatch.setattr(substrings, "PART", part)
+    rng = random.Random(part)
+    long = "".join(rng.choice("abé") for _ in range(700))
+    rows = [*texts(rng, 6), (7000, long), (7001, "x" + long[50:]), (7002, long[100:300] * 3), (7003, long[: part + length]), (7004, long[part : part + length])]
+    got = sorted((tuple(r) for r in substrings.removed(spark.createDataFrame(rows, "doc_id long, text string"), length).collect()), key=str)
+    assert got == brute(rows, length)
+
+
 def test_empty(spark):
     assert substrings.removed(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
