@@ -271,7 +271,7 @@ def q67_page_state_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH p AS (SELECT p_partkey AS id, p_name || ' // ' || p_type AS name, (p_partkey % 4)::INT AS n_prices, CASE WHEN p_size % 3 = 0 THEN 'Nude,' || p_brand ELSE '' END AS shades FROM part),
 h AS (SELECT count(*) AS n, count(*) FILTER (WHERE n_prices > 1) AS multi FROM p)
 SELECT id, name, n_prices, shades FROM p
-UNION ALL SELECT -1, '// Parts — ' || n || ' urun, ' || (SELECT count(*) FROM nation WHERE n_nationkey > 0) || ' satici', 0, '' FROM h
+UNION ALL SELECT -1, '// Parts — ' || n || ' urun, ' || (SELECT count(DISTINCT p_brand) FROM part WHERE p_size > 0) || ' satici', 0, '' FROM h
 UNION ALL SELECT -2, '// Otomatik uretildi: 01.02.2026', 0, '' FROM h
 UNION ALL SELECT -3, '// Coklu fiyat: ' || multi || ' urunde birden fazla satici', 0, '' FROM h
 """)
@@ -281,7 +281,7 @@ def q68_script_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     price = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.struct(F.concat(F.lit("s"), i).alias("site"), F.col("p_retailprice").alias("price")))
     products = part.select(key.alias("id"), F.concat("p_name", F.lit(" // "), "p_type").alias("name"), F.slice(price, F.lit(1), (key % 4).cast("int")).alias("prices"))
-    sellers = table(spark, sf_dir, "nation").select(F.col("n_name").alias("site"), F.col("n_nationkey").cast("long").alias("n"))
+    sellers = part.groupBy(F.col("p_brand").alias("site")).agg(F.count_if(F.col("p_size") > 0).alias("n"))
     sinks.publish_script(products, path, ["id"], sinks.script_header(sinks.summary(products, sellers), "Parts", "01.02.2026"))
     schema = "id long, name string, prices array<struct<site:string,price:double>>, shadeOptions array<string>"
     shades = part.select(key.alias("part"), F.when(F.col("p_size") % 3 == 0, F.array(F.lit("Nude"), F.col("p_brand"))).alias("found"))
