@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions import dictionaries as d
 from offerloom.functions import prices, text
+from offerloom.operators import crossing
 from offerloom.operators.distinct import of_distinct
 from offerloom.operators.matching import first_image
 from offerloom.worktables import materialize
@@ -165,14 +166,17 @@ def substitute_counts(classes: DataFrame) -> DataFrame:
 def expanded_links(classes: DataFrame, parts: int | None = None) -> DataFrame:
     """(high_id, dupe_id) of ``substitute_classes``, each link once.
 
-    A rule's highs are dealt to ``parts`` tasks (the session's shuffle partitions), each of which
-    sees the rule's dupes, so that a rule with most products is not one task's. Links that several rules make meet at the end.
+    Products that the same rules find for a side are one class, so a link that several
+    rules make lies in one pair of classes and no links meet. Pairs of classes are made by
+    blocks (see ``crossing``) in ``parts`` tasks (the session's shuffle partitions): neither a rule with most products
+    nor the number of links, which is quadratic, weighs on one task.
     """
-    parts = parts or int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    deal = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
-    high = classes.filter("side = 'high'").select("rule", deal.alias("_deal"), F.col("id").alias("high_id"))
-    dupe = classes.filter("side = 'dupe'").select("rule", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_deal"), F.col("id").alias("dupe_id"))
-    return high.join(dupe, ["rule", "_deal"]).select("high_id", "dupe_id").distinct()
+    of = materialize(classes.groupBy("side", "id").agg(F.array_sort(F.collect_set("rule")).alias("rules")).withColumn("cls", F.array_join("rules", ",")), "substitute-sides")
+    side = lambda s: of.filter(F.col("side") == s)
+    ruled = lambda s, name: side(s).select(F.col("cls").alias(name), "rules").distinct().select(name, F.explode("rules").alias("rule"))
+    edges = materialize(ruled("high", "a").join(ruled("dupe", "b"), "rule").select("a", "b").distinct(), "substitute-pairs")
+    pairs = crossing.crossed(side("high").select("cls", "id"), side("dupe").select("cls", "id"), edges, parts)
+    return pairs.select(F.col("l.id").alias("high_id"), F.col("r.id").alias("dupe_id"))
 
 
 def with_substitutes(products: DataFrame, links: DataFrame) -> DataFrame:

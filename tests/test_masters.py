@@ -52,3 +52,14 @@ def test_many_rules_decide_as_few(spark):
     assert few == many and set(few.values()) == {True, False} and len(few) == len(paths)
     narrow = table.filter(F.length("pattern") > 2)
     assert {r.i: r.allowed for r in robots.decisions(asked, narrow, "i", max_rules=3).collect()} == {r.i: r.allowed for r in robots.decisions(asked, narrow, "i").collect()}
+
+
+def test_links_do_not_meet(spark):
+    """Two rules that make the same links: each link once, without an aggregate over links, whose number is quadratic."""
+    table = spark.createDataFrame([(i, "AB"[i % 2], "red bolt") for i in range(60)], "id long, brand string, name string")
+    rules = spark.createDataFrame([("A", "red", "B", "bolt"), ("A", "bolt", "B", "red"), ("A", "", "A", "red")], "high_brand string, high_part string, dupe_brand string, dupe_part string")
+    links = masters.substitute_links(table, rules)
+    got = [tuple(r) for r in links.collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a in range(0, 60, 2) for b in range(60)}
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan[: plan.rindex("Generate")] for step in ("Aggregate", "Distinct", "Join"))
