@@ -69,9 +69,17 @@ SELECT part, 1, 'Fiyatsız', '', 0.0, '', 'https://www.sephora.com.tr/u/' || key
 }
 
 
+def _dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts in as many partitions as the session shuffles to, which Spark doesn't join again for being small."""
+    return table(spark, sf_dir, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+
+
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(part, key, name, brand, price, tl, digit, barcode) of the parts; ``tl`` writes the price with a comma."""
-    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    """(part, key, name, brand, price, tl, digit, barcode) of the parts; ``tl`` writes the price with a comma.
+
+    The table may be one file that one task reads; the pages that parts become are dealt to all tasks.
+    """
+    part, key = _dealt(spark, sf_dir), F.col("p_partkey")
     cents = F.round(F.col("p_retailprice") * 100).cast("long")
     return part.select(key.alias("part"), key.alias("key"), F.concat_ws(" ", "p_name", "p_type").alias("name"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"), F.concat(F.floor(cents / 100), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0")).alias("tl"), (key % 10).alias("digit"), F.lpad((key + 8690000000000).cast("string"), 13, "0").alias("barcode"))
 

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from offerloom import seller_queries
 from offerloom.operators import offers
 from offerloom.sources import layouts
 from offerloom.sources.selectors import ENDED_BY, VOID, Selectors, parsed
@@ -138,3 +139,23 @@ def test_working_pages(spark):
     assert sorted((r.k, r.n) for r in got if r.k) == [(1, 3), (2, 0)]
     paths = spark.range(1).select(offers.alternative_paths(offers.F.lit("c"), offers.F.lit("Göz & 'Kaş'")).alias("p")).first().p
     assert paths == ["/c/c", "/search?q=G%C3%B6z%20%26%20'Ka%C5%9F'", "/makyaj/c/003?q=%3Arelevance%3Acategory%3Ac"]
+
+
+def test_plain_pages_are_read_without_the_standard_parser(monkeypatch):
+    """The sellers' pages are plain markup; what is read of plain and other pages is what the standard parser reads."""
+    pieces = ['<div class="card x">', '<a href="/x-p-1?a=1&amp;b=2">', "</a>", "</div>", "<li>", "<br/>", "text", " a&amp;b ", "&", "<p class>", '<script type="x">{"a":"&amp;"}</script>', "<b>", "</b>", "<SCRIPT>a<b</SCRIPT>", "1 < 2", "<!-- c -->", "<i x='1'>", '<i title="&copyx=1" title="2">', "<textarea>", "</b >"]
+    rng, compiled = random.Random(3), Selectors(SELECTORS)
+    pages = ["".join(rng.choice(pieces[: 13 if k % 2 else None]) for _ in range(12)) for k in range(400)]
+    fast = [parsed(h, compiled) for h in pages]
+    with monkeypatch.context() as m:
+        m.setattr("offerloom.sources.selectors._Reader.plain", lambda self, html: False)
+        assert fast == [parsed(h, compiled) for h in pages]
+    monkeypatch.setattr("html.parser.HTMLParser.feed", None)
+    for seller, template in seller_queries.RESULT_PAGES.items():
+        assert layouts.LAYOUTS[seller].cards(parsed(template, layouts.LAYOUTS[seller].selectors()))
+
+
+def test_pages_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
+    rows = [(i, "widget", "Brand#1", "SMALL", 1, 900.0) for i in range(40)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert seller_queries._detail_pages(spark, str(tmp_path)).rdd.getNumPartitions() == 4
