@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from offerloom.functions import dictionaries as d
 from offerloom.functions import links, prices, text
 from offerloom.operators import masters, matching, offers, robots
+from offerloom.operators.distinct import of_distinct
 from offerloom.plans import sql_text as q
 from offerloom.plans.integrate import clean_offers, integrate, variants_of_sellers
 from offerloom.plans.samples import BRANDS, CATEGORIES, LINE_OFFERS, NAMED_PARTS, NAMES, line_offers, named_parts, pick, seller_offers, sql_list, sql_pick, table
@@ -321,8 +322,9 @@ FROM part JOIN x a ON a.name = {sql_pick(NAMES, "p_partkey")} JOIN x b ON b.name
 def q14_token_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), pick(NAMES, F.col("p_partkey")).alias("a"), pick(NAMES, F.col("p_size")).alias("b"))
     none = F.lit("")
-    cored = part.withColumns({"ca": text.core_name(F.col("a"), none), "cb": text.core_name(F.col("b"), none)})
-    return cored.select("part", "a", "b", (F.floor(text.similarity(F.col("ca"), F.col("cb")) * 10000 + 0.5) / 10000).alias("sim"))
+    cores = {"ca": text.core_name(F.col("a"), none), "cb": text.core_name(F.col("b"), none)}
+    sim = F.floor(text.similarity(F.col("ca"), F.col("cb")) * 10000 + 0.5) / 10000
+    return of_distinct(part, ["a", "b"], lambda pairs: pairs.withColumns(cores).withColumn("sim", sim)).select("part", "a", "b", "sim")
 
 
 @query("""

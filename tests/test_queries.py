@@ -53,3 +53,12 @@ def test_cases_written_by_hand(spark, parts, name):
     assert sorted(expected.columns) == columns
     rows = lambda found: sorted(found, key=repr)
     assert rows(tuple(r) for r in found.select(columns).collect()) == rows(expected.project(", ".join(f'"{c}"' for c in columns)).fetchall())
+
+
+@pytest.mark.parametrize("name", ["q14_token_similarity"])
+def test_names_are_worked_out_once(spark, parts, name):
+    """Rules of names run over distinct names and are written; over the parts only a join is left."""
+    found = queries.QUERIES[name](spark, parts)
+    assert found.count() == 300
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "regexp_replace" not in plan and "array_intersect" not in plan
