@@ -302,7 +302,9 @@ def q11_brand_normalise_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(part_sql(f"SELECT part, {q.core_name('name', 'brand')} AS core, {q.product_line('name', 'brand')} AS line FROM parts"))
 def q12_core_name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return named_parts(spark, sf_dir).select("part", text.core_name(F.col("name"), F.col("brand")).alias("core"), text.product_line(F.col("name"), F.col("brand")).alias("line"))
+    name, brand = F.col("name"), F.col("brand")
+    rules = {"core": text.core_name(name, brand), "line": text.product_line(name, brand)}
+    return of_distinct(named_parts(spark, sf_dir), ["name", "brand"], lambda names: names.withColumns(rules)).select("part", "core", "line")
 
 
 @query(part_sql(f"SELECT part, {q.variant_shade('name')} AS shade, array_to_string({q.sizes('name')}, '-') AS size, array_to_string({q.shade_codes('name', 'brand')}, ',') AS codes FROM parts"))

@@ -55,7 +55,7 @@ def test_cases_written_by_hand(spark, parts, name):
     assert rows(tuple(r) for r in found.select(columns).collect()) == rows(expected.project(", ".join(f'"{c}"' for c in columns)).fetchall())
 
 
-@pytest.mark.parametrize("name", ["q14_token_similarity"])
+@pytest.mark.parametrize("name", ["q12_core_name_tokens", "q14_token_similarity"])
 def test_names_are_worked_out_once(spark, parts, name):
     """Rules of names run over distinct names and are written; over the parts only a join is left."""
     found = queries.QUERIES[name](spark, parts)
