@@ -40,6 +40,19 @@ def test_members_are_what_is_nested(spark):
         assert [(v.name, v.price, v.url) for v in g.variants] == [(m.name, m.price, m.url) for m in members if m.group_idx == g.idx]
 
 
+def test_groups_without_nesting_sort_cheapest_offers_only(spark, monkeypatch):
+    """Offers are read twice and their numbers added up by hash; what is sorted are the few that are the cheapest of their key."""
+    seen = []
+    write = matching.materialize
+    monkeypatch.setattr(matching, "materialize", lambda df, name: (seen.append((name, df._jdf.queryExecution().executedPlan().toString())), write(df, name))[1])
+    offers = spark.range(600).selectExpr("id AS idx", "'s' AS site", "cast(id % 4 AS string) AS k", "concat('n', id) AS name", "CAST(1 + id DIV 100 AS double) AS price", "concat('u', id) AS productUrl")
+    groups = matching.variant_groups(offers, ["site", "k"], nested=False)
+    assert sorted((g.k, g.name, g.idx, g.variant_count, g.min_price, g.max_price) for g in groups.collect()) == [(str(k), f"n{k}", k, 150, 1.0, 6.0) for k in range(4)]
+    plans = dict(seen)
+    assert set(plans) == {"variant-numbers", "variants"} and "Sort" not in plans["variant-numbers"] and "HashAggregate" in plans["variant-numbers"]
+    assert "Range" not in groups._jdf.queryExecution().executedPlan().toString()  # what reads the groups twice doesn't make them twice
+
+
 def test_many_rules_decide_as_few(spark):
     """Prefixes, wildcards, signs that patterns read as more than text, ties and empty and null paths: a broadcast and a join by heads agree."""
     rng = random.Random(11)
