@@ -141,7 +141,8 @@ def q53_page_codes_and_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.lpad((F.col("part") + 8690000000000).cast("string"), 13, "0")
     script = F.when(F.col("part") % 4 < 2, F.concat(F.lit('{"barcode":"7'), code, F.lit('","barcode":"1"}'))).when(F.col("part") % 4 == 2, F.lit('"barcode":"1234567"')).otherwise(F.concat(F.lit('"barcode":'), code, F.lit("}")))
     inline = pages.select(F.col("part").alias("p"), landed.inline_barcode(F.concat("html", script)).alias("inline"))
-    return found.join(inline, found["part"] == inline["p"]).drop("p")
+    # a row a part on either side: by the size of the parts' file Spark would take one for small and send it whole through the driver
+    return found.join(inline.hint("merge"), found["part"] == inline["p"]).drop("p")
 
 
 @query(f"""

@@ -159,3 +159,13 @@ def test_pages_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
     rows = [(i, "widget", "Brand#1", "SMALL", 1, 900.0) for i in range(40)]
     spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     assert seller_queries._detail_pages(spark, str(tmp_path)).rdd.getNumPartitions() == 4
+
+
+def test_codes_of_pages_meet_without_a_broadcast(spark, tmp_path):
+    """Both sides have a row a part, so neither goes whole through the driver, however small the parts' file is."""
+    from offerloom import seller_queries
+
+    parts = spark.range(8).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size", "2.0D AS p_retailprice", "'m' AS p_mfgr", "'c' AS p_container")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    found = seller_queries.q53_page_codes_and_brands(spark, str(tmp_path))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 8
