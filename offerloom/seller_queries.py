@@ -137,7 +137,7 @@ FROM s
 def q53_page_codes_and_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes and brands of product pages by all their writers, and the code in a script."""
     pages = _detail_pages(spark, sf_dir)
-    found = layouts.detail_elements(pages, "part").select("part", layouts.page_barcode().alias("barcode"), layouts.page_brand().alias("brand"))
+    found = layouts.detail_elements(pages, "part", names=layouts.CODES).select("part", layouts.page_barcode().alias("barcode"), layouts.page_brand().alias("brand"))
     code = F.lpad((F.col("part") + 8690000000000).cast("string"), 13, "0")
     script = F.when(F.col("part") % 4 < 2, F.concat(F.lit('{"barcode":"7'), code, F.lit('","barcode":"1"}'))).when(F.col("part") % 4 == 2, F.lit('"barcode":"1234567"')).otherwise(F.concat(F.lit('"barcode":'), code, F.lit("}")))
     inline = pages.select(F.col("part").alias("p"), landed.inline_barcode(F.concat("html", script)).alias("inline"))
@@ -153,7 +153,7 @@ FROM s
 """)
 def q56_detail_flags_and_shades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Details and shades of product pages, each of the four ways to shades in turn."""
-    found = layouts.detail_elements(_detail_pages(spark, sf_dir), "part")
+    found = layouts.detail_elements(_detail_pages(spark, sf_dir), "part", names=layouts.DETAILS)
     return found.select("part", *(c.alias(n) for n, c in layouts.page_details().items()), F.array_join(layouts.page_shades(), ",").alias("shades"))
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,9 @@ class Read:
             return []
         if self.own or self.around:
             return [page.read(at, self.attributes)]
-        found = [i for s in self.selectors for i in (page.all(s, at) if self.every else [page.first(s, at)]) if i is not None]
+        found = [i for s in self.selectors if page.found[s] for i in (page.all(s, at) if self.every else [page.first(s, at)]) if i is not None]
+        if not found:
+            return []
         if self.most is not None:
             found = [i for i in found if sum(map(len, page.pieces[page.elements[i].text_from : page.elements[i].text_to])) <= 2 * self.most]
         out = [page.read(i, self.attributes) for i in found]
@@ -404,20 +407,31 @@ _DETAIL = {
 }
 
 
-def detail_elements(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """(key, visible string, and an array of texts for each element that product pages are read by)."""
-    names, selectors = list(_DETAIL), Selectors(s for r in _DETAIL.values() for s in (*r.selectors, r.inside) if s)
+#: What codes and brands are made of, and details and shades.
+CODES = ("rows", "meta", "brand", "scripts")
+DETAILS = ("visible", "desc", "image", "size", "links", "items", "labels", "selected")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for html in frame["html"]:
+
+def detail_elements(pages: DataFrame, key: str, html: str = "html", names: tuple[str, ...] = ("visible", *_DETAIL)) -> DataFrame:
+    """(key, visible string, and an array of texts for each element that product pages are read by), of these ``names`` only: what nobody asks for isn't looked for."""
+    reads = {n: _DETAIL[n] for n in names if n != "visible"}
+    selectors = Selectors(s for r in reads.values() for s in (*r.selectors, r.inside) if s)
+    kinds = {n: "string" if n == "visible" else "array<string>" for n in names}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string() if n == "visible" else pa.list_(pa.string()) for n in names]
+        for batch in batches:
+            found: dict[str, list] = {n: [] for n in names}
+            for html in batch.column(1).to_pylist():
                 page = parsed(f"<html>{html or ''}", selectors)
-                rows.append((page.visible(), *(_DETAIL[n].values(page, 0, 0) for n in names)))
-            yield pd.DataFrame(rows, columns=["visible", *names]).assign(**{key: frame[key].to_numpy()})
+                if "visible" in found:
+                    found["visible"].append(page.visible())
+                for n, read in reads.items():
+                    found[n].append(read.values(page, 0, 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[n], t) for n, t in zip(names, types, strict=True))], [key, *names])
 
     kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, F.col(html).alias("html")).mapInPandas(run, f"{key} {kind}, visible string, " + ", ".join(f"{n} array<string>" for n in names))
+    return pages.select(key, F.col(html).alias("html")).mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{n} {k}" for n, k in kinds.items()))
 
 
 def _filled(values: Column) -> Column:

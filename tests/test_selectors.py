@@ -169,3 +169,23 @@ def test_codes_of_pages_meet_without_a_broadcast(spark, tmp_path):
     parts.write.parquet(f"{tmp_path}/part.parquet")
     found = seller_queries.q53_page_codes_and_brands(spark, str(tmp_path))
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 8
+
+
+def test_plain_pages_neither_set_up_the_standard_parser_nor_match_a_tag_twice(monkeypatch):
+    template = seller_queries.DETAIL_PAGES[0]
+    compiled = Selectors(["a", ".product-variations"])
+    first, seen = parsed(template, compiled), []
+    monkeypatch.setattr("html.parser.HTMLParser.__init__", None)
+    monkeypatch.setattr("offerloom.sources.selectors.Selectors.known", lambda self, raw: seen.append(raw))
+    assert parsed(template, compiled) == first and first.all("a") and not seen
+
+
+def test_only_asked_elements_are_looked_for(spark):
+    html = [*seller_queries.DETAIL_PAGES, None]
+    pages = spark.createDataFrame(list(enumerate(html)), "k int, html string")
+    whole = layouts.detail_elements(pages, "k")
+    for names in (layouts.CODES, layouts.DETAILS):
+        found = layouts.detail_elements(pages, "k", names=names)
+        assert found.columns == ["k", *names]
+        assert found.orderBy("k").collect() == whole.select("k", *names).orderBy("k").collect()
+    assert set(whole.columns) == {"k", *layouts.CODES, *layouts.DETAILS}
