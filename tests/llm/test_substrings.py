@@ -56,6 +56,19 @@ def test_texts_in_parts(spark, monkeypatch, part, length):
     assert got == brute(rows, length)
 
 
+def test_spans_and_what_is_left(spark):
+    """The spans are apart, and what is left is the text without them."""
+    rows = [r for r in texts(random.Random(3), 20) if r[0] is not None and r[0] != 5004]
+    found = {r.id: r for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), 40).collect()}
+    assert len(found) == len(rows) and any(len(r.spans) > 1 for r in found.values())
+    for i, t in rows:
+        body, r = (t or "").encode(), found[i]
+        edges = [0, *(x for s in r.spans for x in s), len(body)]
+        left = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        assert r.sha256 == hashlib.sha256(body).hexdigest() and (left == body if r.kept is None else left == r.kept != body)
+        assert all(a < b for a, b in zip(edges[1:-1], edges[2:-1]))
+
+
 def test_empty(spark):
     assert substrings.removed(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
