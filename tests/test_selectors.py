@@ -127,6 +127,15 @@ def test_climbing_stops_below_a_list(spark):
     assert offers_of(spark, "Gratis", html) == [(0, "Adı bir", 0.0, "https://g/a-p-1"), (0, "Başlık iki", 0.0, "https://www.gratis.com/b-p-2")]
 
 
+def test_barcodes_at_the_end_of_links(spark):
+    """As pazarama-scraper.js:127 has it: 8 to 13 digits at the end of a link are a barcode, whatever numbers them, and its query doesn't count."""
+    card = '<div class="item"><a href="/{}">Uzun adı olan ürün</a><i class="fiyat">12,50 TL</i></div>'
+    links = ["x-p-3999999", "x-p-31000000", "x-p-8690000000001?m=1", "x-p-86900000000012", "x-p-31000000-y"]
+    rows = spark.createDataFrame([("".join(map(card.format, links)),)], "html string").selectExpr("1 AS page", "html")
+    found = layouts.offers_of(rows, layouts.LAYOUTS["Pazarama"], "page").orderBy("pos").collect()
+    assert [r.barcode for r in found] == ["", "31000000", "8690000000001", "", ""]
+
+
 def test_shades_in_order(spark):
     html = ['<div class="product-variations"><a> A (3 ml) B</a><a>A (3 ml) B</a><a>' + "x" * 80 + '</a></div><li class="product-variations"><li data-value="v"></li></li>', '<div class="product-variations"></div><i class="selected-shade">x</i><i class="shade-name">yz</i>', None]
     rows = layouts.detail_elements(spark.createDataFrame(list(enumerate(html)), "k int, html string"), "k")
